@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from .fingerprint import op3_fingerprints
 from .pii import op5_pii
 from .secrets import op10_secrets
+from .sentencepiece_codec import op9_sentencepiece
 
 
 def queries() -> dict:
     return {
+        "op3_fingerprints": op3_fingerprints,
         "op5_pii": op5_pii,
+        "op9_sentencepiece": op9_sentencepiece,
         "op10_secrets": op10_secrets,
     }
 
