@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .fingerprint import op3_fingerprints
+from .mixing import OP6_SQL, op6_mixing
 from .pii import op5_pii
 from .secrets import op10_secrets
 from .sentencepiece_codec import op9_sentencepiece
@@ -10,12 +12,17 @@ from .sentencepiece_codec import op9_sentencepiece
 
 def queries() -> dict:
     return {
+        "op1_exact_dedup": op1_exact_dedup,
         "op3_fingerprints": op3_fingerprints,
         "op5_pii": op5_pii,
+        "op6_mixing": op6_mixing,
         "op9_sentencepiece": op9_sentencepiece,
         "op10_secrets": op10_secrets,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_exact_dedup": OP1_SQL,
+        "op6_mixing": OP6_SQL,
+    }
