@@ -8,6 +8,7 @@ from .mixing import OP6_SQL, op6_mixing
 from .pii import op5_pii
 from .secrets import op10_secrets
 from .sentencepiece_codec import op9_sentencepiece
+from .url_filter import OP8_SQL, op8_url_filter
 
 
 def queries() -> dict:
@@ -16,6 +17,7 @@ def queries() -> dict:
         "op3_fingerprints": op3_fingerprints,
         "op5_pii": op5_pii,
         "op6_mixing": op6_mixing,
+        "op8_url_filter": op8_url_filter,
         "op9_sentencepiece": op9_sentencepiece,
         "op10_secrets": op10_secrets,
     }
@@ -25,4 +27,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": OP1_SQL,
         "op6_mixing": OP6_SQL,
+        "op8_url_filter": OP8_SQL,
     }
