@@ -111,3 +111,28 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Knots of the nondecreasing function nearest to y over x (pool adjacent violators).
+
+    Each pool has the mean of its labels with one more label of either kind, so
+    no small pool is certain; between pools the function is linear.
+    """
+    order = np.argsort(x, kind="stable")
+    w = np.ones(len(x)) if w is None else w
+    pools: list[list[float]] = []  # weight, weighted sum, least x, largest x
+    for a, b, c in zip(x[order].tolist(), y[order].tolist(), w[order].tolist(), strict=True):
+        pools.append([c, b * c, a, a])
+        while len(pools) > 1 and (pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0] or pools[-2][3] == pools[-1][2]):
+            n, s, _, high = pools.pop()
+            pools[-1][0] += n
+            pools[-1][1] += s
+            pools[-1][3] = high
+    value = np.maximum.accumulate([(s + 1) / (n + 2) for n, s, _, _ in pools])
+    return np.array([p[k] for p in pools for k in (2, 3)]), np.repeat(value, 2)
+
+
+def calibrated(x: np.ndarray, knots: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The isotonic score, with a thousandth of x's own order so that pools keep theirs."""
+    return 0.999 * np.interp(x, *knots) + 0.001 / (1 + np.exp(-np.clip(x, -30, 30)))

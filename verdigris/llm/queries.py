@@ -8,6 +8,7 @@ from .mixing import OP6_SQL, op6_mixing
 from .pii import op5_pii
 from .secrets import op10_secrets
 from .sentencepiece_codec import op9_sentencepiece
+from .toxicity import op4_toxicity
 from .url_filter import OP8_SQL, op8_url_filter
 
 
@@ -15,6 +16,7 @@ def queries() -> dict:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op3_fingerprints": op3_fingerprints,
+        "op4_toxicity": op4_toxicity,
         "op5_pii": op5_pii,
         "op6_mixing": op6_mixing,
         "op8_url_filter": op8_url_filter,
