@@ -6,6 +6,7 @@ from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .fingerprint import op3_fingerprints
 from .mixing import OP6_SQL, op6_mixing
 from .pii import op5_pii
+from .quality import op2_quality
 from .secrets import op10_secrets
 from .sentencepiece_codec import op9_sentencepiece
 from .toxicity import op4_toxicity
@@ -15,6 +16,7 @@ from .url_filter import OP8_SQL, op8_url_filter
 def queries() -> dict:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_quality": op2_quality,
         "op3_fingerprints": op3_fingerprints,
         "op4_toxicity": op4_toxicity,
         "op5_pii": op5_pii,
