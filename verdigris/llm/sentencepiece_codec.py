@@ -4,8 +4,9 @@ The model's protobuf is parsed, and normaliser, metaspace marker, vocabulary
 with scores and byte fallback are rebuilt as a ``tokenizers`` pipeline.
 Unigram models keep their scores; BPE models, whose scores are merge ranks, get
 the merges that the ranks imply.  Batches are encoded on the library's threads
-(or each word once, where the vocabulary allows it), and every text is also encoded by the sentencepiece library: where the two
-differ, the row says so and carries the ids of the sentencepiece library.
+(or each word once, where the vocabulary allows it), and everything that is
+encoded is also encoded by the sentencepiece library: where the two differ, the
+row says so and carries the ids of the sentencepiece library.
 
 Defined cases: a null text counts as empty and has no ids; a null id is kept;
 repeated rows give repeated results; further columns are ignored; an empty
@@ -104,11 +105,12 @@ class Codec:
 
         self.tok, self.plain = build(model), sentencepiece.SentencePieceProcessor(model_proto=model)
         proto = pb.ModelProto.FromString(model)
-        self.by_word = self.tok.pre_tokenizer is not None
         norm = proto.normalizer_spec
         self.simple = norm.add_dummy_prefix and norm.escape_whitespaces and not norm.remove_extra_whitespaces and not norm.precompiled_charsmap
+        self.by_word = self.tok.pre_tokenizer is not None and self.simple
         self.strips = norm.add_dummy_prefix
         self.seen: dict[str, list[int]] = {}
+        self.differing: set[str] = set()
         self.cut = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+").findall
         self.bytes_of = pa.array([bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else b"" if p.type == CONTROL else p.piece.replace(SPACE_MARK, " ").encode() for p in proto.pieces], pa.binary())
         self.np = np
@@ -118,23 +120,33 @@ class Codec:
             return text and SPACE_MARK + text.replace(" ", SPACE_MARK)
         return self.tok.normalizer.normalize_str(text)
 
-    def encode(self, given: list[str]) -> list[list[int]]:
-        """What the tokenizers library gives."""
+    def encode(self, given: list[str]) -> tuple[list[list[int]], list[bool]]:
+        """The ids of each text, and whether both libraries give these.
+
+        With words, each distinct word is encoded by both; as no piece crosses a
+        cut, texts are at parity if their words are.  Words that differ, if there
+        should be any, and texts of other vocabularies that do, get the ids of
+        the sentencepiece library.
+        """
         from itertools import chain
 
         if not self.by_word:
-            return [e.ids for e in self.tok.encode_batch(given, add_special_tokens=False)]
+            other = self.plain.encode(given, num_threads=1)
+            coded = self.tok.encode_batch(given, add_special_tokens=False)
+            return other, [x.ids == y for x, y in zip(coded, other, strict=True)]
         cut = [self.cut(self.normal(t)) for t in given]
         if len(self.seen) > self.WORDS:
             self.seen.clear()
-        tokens = self.tok.model.tokenize
-        for word in set(chain.from_iterable(cut)).difference(self.seen):
-            self.seen[word] = [x.id for x in tokens(word)]
-        return [list(chain.from_iterable(map(self.seen.__getitem__, w))) for w in cut]
-
-    def check(self, given: list[str]) -> list[list[int]]:
-        """What the sentencepiece library gives."""
-        return self.plain.encode(given, num_threads=1)
+            self.differing.clear()
+        tokens, new = self.tok.model.tokenize, list(set(chain.from_iterable(cut)).difference(self.seen))
+        for word, other in zip(new, self.plain.encode([w[1:].replace(SPACE_MARK, " ") for w in new], num_threads=1), strict=True):
+            mine = [x.id for x in tokens(word)]
+            # The library gives a text of one marker no form of its own: an empty text has no prefix.
+            self.seen[word] = other if word != SPACE_MARK else mine
+            if mine != self.seen[word]:
+                self.differing.add(word)
+        same = [True] * len(given) if not self.differing else [self.differing.isdisjoint(w) for w in cut]
+        return [list(chain.from_iterable(map(self.seen.__getitem__, w))) for w in cut], same
 
     def decode(self, coded: list[list[int]]) -> list[str]:
         """The pieces' bytes put together; ill-formed bytes become U+FFFD."""
@@ -167,8 +179,7 @@ def encode(df: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col:
         for batch in batches:
             for b in blocks(batch, "__text"):
                 given = texts(b, "__text")
-                coded, other = codec.encode(given), codec.check(given)
-                same = [x == y for x, y in zip(coded, other, strict=True)]
+                other, same = codec.encode(given)
                 back = codec.decode(other)
                 cols = [*b.columns[: len(kept)], pa.array([len(x) for x in other], pa.int64())]
                 packed = [codec.np.array(x, "<i4") for x in other]
