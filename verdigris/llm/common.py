@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 #: Largest side, in rows, that is broadcast after it has been counted.
 BROADCAST_ROWS = 200_000
 #: Texts are turned into arrays in blocks of about so many characters.
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
+#: Rows of texts that travel to Python at once; Spark's own setting of 10,000 long texts would fill an executor.
+BATCH_ROWS = 1000
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -82,6 +84,14 @@ def normal_space(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")
 
 
+def text_batches(df: DataFrame) -> DataFrame:
+    """df, with its session set to send at most BATCH_ROWS rows to Python at once."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, BATCH_ROWS)
+    return df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

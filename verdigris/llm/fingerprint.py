@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, table
+from .common import partitions, table, text_batches
 
 LANES = 256
 _SENTENCE = re.compile(r"(?<=[.!?])\x20+")
@@ -89,7 +89,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([to_text(fingerprint(t)) for t in b.column(1).to_pylist()], pa.string())], names=["id", "fingerprint"])
 
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(scan, f"id {kind}, fingerprint string").withColumnRenamed("id", id_col)
+    return text_batches(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).mapInArrow(scan, f"id {kind}, fingerprint string").withColumnRenamed("id", id_col)
 
 
 def edit(text: str, following: str) -> str:
@@ -179,7 +179,7 @@ def edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), types, strict=True)], names=list(names))
 
     dealt = with_next(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), n).withColumn("id", F.col("id").cast("long"))
-    made = dealt.mapInArrow(scan, "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    made = text_batches(dealt).mapInArrow(scan, "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
     return made.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)
 
 

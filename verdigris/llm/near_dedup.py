@@ -45,7 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, free_name, join_checked, mix64, partitions, table, written
+from .common import BLOCK_CHARS, blocks, free_name, join_checked, mix64, partitions, table, text_batches, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -57,7 +57,7 @@ SHARE = 128
 #: The count-min sketch: DEPTH rows of WIDTH counters, moved in pieces.
 DEPTH, WIDTH_BITS, PIECE_BITS = 3, 18, 14
 #: Entries in the tables of random variables that samples draw from.
-DRAWS_BITS = 16
+DRAWS_BITS = 15
 _NONE = (1 << 63) - 1
 _DOC_BITS = 15
 _HASH_BITS = 64 - _DOC_BITS
@@ -118,7 +118,7 @@ def _slots(h: np.ndarray, depth: int) -> np.ndarray:
 
 
 def _text_blocks(batch: pa.RecordBatch):
-    for b in blocks(batch):
+    for b in blocks(batch, chars=2 * BLOCK_CHARS):
         for at in range(0, b.num_rows, 1 << _DOC_BITS):
             yield b.slice(at, 1 << _DOC_BITS)
 
@@ -154,7 +154,7 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x[0] for x in held.values()], pa.int64()), pa.array([zlib.compress(x[1].tobytes(), 1) for x in held.values()])], names=["piece", "rows", "counts"])
 
     kinds = "piece int, rows long, counts binary"
-    summed = docs.select("text").mapInArrow(count, kinds).repartition(min(pieces, partitions(docs.sparkSession)), "piece").mapInArrow(add, kinds).collect()
+    summed = text_batches(docs.select("text")).mapInArrow(count, kinds).repartition(min(pieces, partitions(docs.sparkSession)), "piece").mapInArrow(add, kinds).collect()
     sketch = np.zeros((pieces, 1 << PIECE_BITS), np.int64)
     for r in summed:
         sketch[r["piece"]] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
@@ -251,7 +251,7 @@ def _signed(docs: DataFrame, held) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(offsets, pa.array(bands(sampled)[has].ravel(), pa.int64()))], names=["id", "digest", "bands"])
 
     rows = docs.select("id", F.unhex(F.sha2("text", 256)).alias("digest"), "text")
-    return rows.mapInArrow(run, "id long, digest binary, bands array<long>")
+    return text_batches(rows).mapInArrow(run, "id long, digest binary, bands array<long>")
 
 
 def _centred(members: DataFrame) -> DataFrame:
@@ -314,7 +314,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, held, threshold: float) -> Data
                     yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
 
     dealt = rows.repartition(partitions(docs.sparkSession), "host", "share").sortWithinPartitions("host", "share", "part")
-    return written(dealt.mapInArrow(compare, "a long, b long"), "near-links")
+    return written(text_batches(dealt).mapInArrow(compare, "a long, b long"), "near-links")
 
 
 def similarities(h1: np.ndarray, w1: np.ndarray, h2: np.ndarray, w2: np.ndarray) -> tuple[float, float]:

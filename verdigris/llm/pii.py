@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts
+from .common import table, text_batches, texts
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("iban", "ssn", "birthdate")
@@ -161,7 +161,7 @@ def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_
             rows = [[{"kind": k, "start": a, "end": e, "score": s} for k, a, e, s in spans_of(t, min_score)] for t in texts(b)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])))], names=["id", "spans"])
 
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(scan, f"id {kind.simpleString()}, spans {SPANS}").withColumnRenamed("id", id_col)
+    return text_batches(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).mapInArrow(scan, f"id {kind.simpleString()}, spans {SPANS}").withColumnRenamed("id", id_col)
 
 
 def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
@@ -179,7 +179,7 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_sc
             k = b.schema.get_field_index(text_col)
             yield b.set_column(k, b.schema.field(k), pa.array(out, b.schema.field(k).type))
 
-    return df.mapInArrow(cover, df.schema)
+    return text_batches(df).mapInArrow(cover, df.schema)
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

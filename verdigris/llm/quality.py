@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, calibrated, isotonic, mix64, table, texts, written
+from .common import blocks, calibrated, isotonic, mix64, table, text_batches, texts, written
 
 FEATURES = 256
 #: Width of the Gaussian kernel, in standardised units.
@@ -139,7 +139,7 @@ def with_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 s = statistics(texts(b)).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(np.arange(len(s) + 1) * s.shape[1], pa.int32()), pa.array(s.ravel(), pa.float32()))], names=["id", "stats"])
 
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, stats array<float>").withColumnRenamed("id", id_col)
+    return text_batches(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).mapInArrow(run, f"id {kind}, stats array<float>").withColumnRenamed("id", id_col)
 
 
 class Model:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts
+from .common import table, text_batches, texts
 
 BASE_KINDS = ("assign", "access", "hex")
 WEAK_KINDS = ("weak_assign", "weak_token", "weak_account", "endpoint")
@@ -129,7 +129,7 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             rows = [[{"kind": k, "start": a, "end": e, "partner": p} for k, a, e, p in spans_of(t, max_gap)] for t in texts(b)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("partner", pa.string())])))], names=["id", "spans"])
 
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(scan, f"id {kind.simpleString()}, spans {SPANS}").withColumnRenamed("id", id_col)
+    return text_batches(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).mapInArrow(scan, f"id {kind.simpleString()}, spans {SPANS}").withColumnRenamed("id", id_col)
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, table, texts
+from .common import blocks, table, text_batches, texts
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: SentencePiece's marker for a space, and its piece types (fixed values of the format).
@@ -96,7 +96,7 @@ class Codec:
     """
 
     #: Words remembered before the memory starts anew.
-    WORDS = 300_000
+    WORDS = 150_000
 
     def __init__(self, model: bytes):
         import numpy as np
@@ -193,7 +193,7 @@ def encode(df: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col:
 
     names = [*(f.name for f in kept), "n_tokens", *["token_ids"] * ids, "token_sha256", "parity", "round_trip"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "n_tokens long", *["token_ids array<int>"] * ids, "token_sha256 string", "parity boolean", "round_trip boolean"])
-    return df.select(*[F.col(f.name) for f in kept], F.col(text_col).alias("__text")).mapInArrow(run, schema)
+    return text_batches(df.select(*[F.col(f.name) for f in kept], F.col(text_col).alias("__text"))).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:

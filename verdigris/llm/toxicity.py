@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, calibrated, free_name, isotonic, table, texts
+from .common import blocks, calibrated, free_name, isotonic, table, text_batches, texts
 
 BITS = 18
 DIM = 8
 LENGTHS = (3, 4, 5, 6)
 WINDOW = 1
-MAX_ROWS = 12_000
-MAX_CHARS = 40_000_000
+MAX_ROWS = 8_000
+MAX_CHARS = 25_000_000
 THRESHOLD = 0.7
 #: Punctuation that a window found toxic is learned without.
 STRIP = " .,;:!?\"'()[]"
@@ -131,7 +131,7 @@ class Model:
         return calibrated(Bags(given).best(self.weights), self.knots)
 
 
-def _parts(given: list[str], chars: int = 1 << 20):
+def _parts(given: list[str], chars: int = 1 << 18):
     at = 0
     while at < len(given):
         end, n = at, 0
@@ -299,7 +299,7 @@ def with_score(df: DataFrame, model: Model, text_col: str = "text", name: str =
 
     from pyspark.sql import types as T
 
-    return df.mapInArrow(score, T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())]))
+    return text_batches(df).mapInArrow(score, T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def reject(df: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
