@@ -112,7 +112,7 @@ def with_next(df: DataFrame, n: int | None = None) -> DataFrame:
     ids = keyed.select("k")
     least = ids.agg(F.min("k")).first()[0]
     # Quantiles need a double; the least id at or after each is a true id.
-    marks = [int(x) for x in ids.approxQuantile("k", [i / n for i in range(1, n)], 1 / (4 * n))] if least is not None else []
+    marks = [int(x) for x in ids.approxQuantile("k", [i / n for i in range(1, n)], 1 / (4 * n))] if least is not None and n > 1 else []
     starts = sorted({m for m in marks if m > least})
     count = len(starts) + 1
     bounds = spark.sparkContext.broadcast(np.array(starts, np.int64))
