@@ -114,12 +114,12 @@ def _verified(rows: DataFrame, out: DataFrame, hits: DataFrame, digest) -> DataF
     moved = other.join(groups, ["digest", "norm"]).select("id", "digest", "new_keep", "new_size").distinct()
     left = other.groupBy("digest").agg(F.count("*").alias("gone"))
     out = out.join(moved, ["id", "digest"], "left").join(left, "digest", "left")
-    return out.select("id", "digest", F.coalesce("new_keep", "keep_id").alias("keep_id"), F.coalesce("new_size", F.col("group_size") - F.coalesce("gone", F.lit(0))).alias("group_size"))
+    return written(out.select("id", "digest", F.coalesce("new_keep", "keep_id").alias("keep_id"), F.coalesce("new_size", F.col("group_size") - F.coalesce("gone", F.lit(0))).alias("group_size")), "dedup-regrouped")
 
 
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df without the rows that have an equal of a smaller identifier, with all its columns."""
-    groups = written(_grouped(df, id_col, text_col, sha256), "dedup-groups")
+    groups = _grouped(df, id_col, text_col, sha256)
     id_, digest = free_name(df, "__id"), free_name(df, "__digest")
     keyed = df.withColumns({id_: F.coalesce(F.col(id_col).cast("long"), F.lit(_NONE)), digest: sha256(normal_space(F.col(text_col)))})
     named = lambda rows: rows.select(F.col("id").alias(id_), F.col("digest").alias(digest)).distinct()

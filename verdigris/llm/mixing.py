@@ -38,6 +38,8 @@ MOST = 2
 SEED = "mix"
 #: Queue entries that one bucket of a source's shuffled order holds, about.
 BUCKET_ROWS = 2000
+#: Rows for which a global order is dealt over one more partition, as far as there are partitions.
+RUN_ROWS = 2000
 
 
 def word_count(text: Column) -> Column:
@@ -50,7 +52,7 @@ def running(df: DataFrame, order: list[Column], sums: dict[str, Column], parts:
     The rows are range-sorted; the totals of the partitions, of which there are
     few, are cumulated apart and added.
     """
-    parts = parts or partitions(df.sparkSession)
+    parts = parts or min(partitions(df.sparkSession), df.count() // RUN_ROWS + 1)
     dealt = written(df.withColumns(sums).repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "running")
     totals = dealt.groupBy("__part").agg(*[F.sum(c).alias(c) for c in sums]).orderBy("__part").collect()
     before, so_far = [], dict.fromkeys(sums, 0)

@@ -313,7 +313,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, held, threshold: float) -> Data
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
 
-    dealt = rows.repartition(partitions(docs.sparkSession), "host", "share").sortWithinPartitions("host", "share", "part")
+    dealt = rows.repartition("host", "share").sortWithinPartitions("host", "share", "part")
     return written(text_batches(dealt).mapInArrow(compare, "a long, b long"), "near-links")
 
 
