@@ -303,9 +303,9 @@ def _tieback_composite(spark, _):
     return reporting.source_records(runner.store, runner.sources, 1, RUN_KEY).select("_src_key_value", "l_partkey", "l_suppkey")
 
 
-@query("tieback_process", "SELECT 1 AS _rule_id, c_custkey, NULL::BIGINT AS s_suppkey FROM customer WHERE c_acctbal < 0 UNION ALL SELECT 2, NULL, s_suppkey FROM supplier WHERE s_acctbal < 0")
+@query("tieback_process", "SELECT 1 AS _rule_id, c_custkey, NULL::BIGINT AS s_suppkey FROM customer WHERE c_acctbal < 0 UNION ALL SELECT 2, NULL, s_suppkey FROM supplier WHERE s_acctbal < 5000")
 def _tieback_process(spark, _):
-    runner = engine(spark, [NEGATIVE, rule(2, "supplier", "SELECT s_suppkey FROM supplier WHERE s_acctbal < 0", "s_suppkey")])
+    runner = engine(spark, [NEGATIVE, rule(2, "supplier", "SELECT s_suppkey FROM supplier WHERE s_acctbal < 5000", "s_suppkey")])
     runner.run_group("G", RUN_KEY)
     return reporting.source_records_for_process(runner.store, runner.sources, "PR", RUN_KEY).select("_rule_id", "c_custkey", "s_suppkey")
 

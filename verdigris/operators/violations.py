@@ -68,13 +68,13 @@ class Totals:
             self._known.setdefault((dialect, source.identifier(database, table), c), row[f"n{i}"])
 
 
-def actions(on_record: DataFrame, found: DataFrame) -> DataFrame:
-    """action for each key on record (src_key_value, etl_is_curr_ind, ...) or found (src_key_value).
+def actions(on_record: DataFrame, found: DataFrame, key: tuple[str, ...] = ("src_key_value",)) -> DataFrame:
+    """action for each key on record (key, etl_is_curr_ind, ...) or found (key).
 
     INSERT new ones, REACTIVATE ones that had gone, DEACTIVATE ones that are
     gone now, KEEP the rest.
     """
     had, have = F.col("etl_is_curr_ind"), F.col("_found").isNotNull()
-    joined = on_record.join(found.select("src_key_value", F.lit(True).alias("_found")), "src_key_value", "full_outer")
+    joined = on_record.join(found.select(*key, F.lit(True).alias("_found")), list(key), "full_outer")
     action = F.when(had.isNull(), "INSERT").when(have & (had == "N"), "REACTIVATE").when(~have & (had == "Y"), "DEACTIVATE").otherwise("KEEP")
     return joined.withColumn("action", action).drop("_found")

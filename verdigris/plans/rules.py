@@ -67,8 +67,6 @@ class RunContext:
     filters: dict = field(default_factory=dict)
     text_params: dict = field(default_factory=dict)
     totals: violations.Totals = field(default_factory=violations.Totals)
-    #: Keys found by a batch for all rules: rule_id to (src_key_value, n).
-    found: dict[int, DataFrame] = field(default_factory=dict)
 
 
 def tieback_sql(rule: Mapping, run_key: str, exceptions: str, scope: Mapping[str, object] | None = None) -> str | None:
@@ -112,12 +110,15 @@ class RuleExecutor:
         except Exception:
             log.exception("rule %s: the error could not be recorded", rule.get("rule_id"))
 
-    def result(self, rule: Mapping, start: dt.datetime, status: str, **values: object) -> None:
+    def result_row(self, rule: Mapping, start: dt.datetime, status: str, **values: object) -> dict:
         named = ("rule_id", "rule_group", "rule_variant", "project_name", "process_name", "seq_no", "severity")
-        self.store.append(ms.RESULTS, [{
+        return {
             "result_id": self.store.next_seq(), "run_id": self.ctx.run_id, "run_key": self.ctx.run_key, **{c: rule.get(c) for c in named}, "start_time": start, "end_time": ms.now(),
             "status": status, "failed_records": 0, "active_ind": "Y", "load_datetime": ms.now(), **values,
-        }])
+        }
+
+    def result(self, rule: Mapping, start: dt.datetime, status: str, **values: object) -> None:
+        self.store.append(ms.RESULTS, [self.result_row(rule, start, status, **values)])
 
     def result_if_possible(self, rule: Mapping, start: dt.datetime, status: str, **values: object) -> None:
         try:
@@ -137,15 +138,12 @@ class RuleExecutor:
 
     def scan(self, rule: Mapping, query: str) -> tuple[int, DataFrame | None, Exception | None]:
         """How many rows fail, their keys (src_key_value, n), and why there are no keys if there are none."""
-        if rule["rule_id"] in self.ctx.found:
-            found = self.ctx.found[rule["rule_id"]]
-        else:
-            rows = violations.rule_rows(self.spark, query)
-            try:
-                plan = violations.keyed(rows, keys.split_columns(rule.get("src_key_cols")))
-            except (KeyError, ValueError) as e:
-                return rows.count(), None, e
-            found = scratch(plan, "violations")
+        rows = violations.rule_rows(self.spark, query)
+        try:
+            plan = violations.keyed(rows, keys.split_columns(rule.get("src_key_cols")))
+        except (KeyError, ValueError) as e:
+            return rows.count(), None, e
+        found = scratch(plan, "violations")
         return int(found.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]), found, None
 
     def total(self, rule: Mapping) -> tuple[int, dict]:
@@ -196,22 +194,26 @@ class RuleExecutor:
         except Exception as e:  # the verdict stands
             log.warning("rule %s: exceptions were not reconciled: %s", rule.get("rule_id"), type(e).__name__)
             self.error(rule, "WRITE_FAILURE", e)
-        v = verdict.evaluate(total, failed, rule.get("threshold_pct"), rule.get("threshold_count"), rule.get("threshold_operator"), rule.get("severity"))
-        values = {
-            "total_records": total, "failed_records": failed, "failure_pct": verdict.failure_pct(total, failed), "executed_sql": query,
-            "source_tieback_sql": tieback_sql(rule, ctx.run_key, "exceptions", scope) if failed else None,
-            "threshold_pct_used": v.pct_used, "threshold_count_used": v.count_used, "threshold_operator_used": v.operator_used,
-        }
-        if not v.write_result:
-            self.result_if_possible(rule, start, v.status, **values)
+        values = self.judged(rule, query, failed, total, scope)
+        if not values.pop("write_result"):
+            self.result_if_possible(rule, start, **values)
             return "SUCCESS"
         try:
-            self.result(rule, start, v.status, **values)
+            self.result(rule, start, **values)
         except Exception as e:
             return fail("RESULTS_WRITE_FAILURE", e, query, failed_records=failed)
-        log.info("rule %s: %d of %d failed, %s", rule.get("rule_id"), failed, total, v.status)
+        log.info("rule %s: %d of %d failed, %s", rule.get("rule_id"), failed, total, values["status"])
         return "SUCCESS"
 
+    def judged(self, rule: Mapping, query: str, failed: int, total: int, scope: Mapping) -> dict:
+        """What the result row says, and whether it must be written."""
+        v = verdict.evaluate(total, failed, rule.get("threshold_pct"), rule.get("threshold_count"), rule.get("threshold_operator"), rule.get("severity"))
+        return {
+            "write_result": v.write_result, "status": v.status, "total_records": total, "failed_records": failed, "failure_pct": verdict.failure_pct(total, failed), "executed_sql": query,
+            "source_tieback_sql": tieback_sql(rule, self.ctx.run_key, "exceptions", scope) if failed else None,
+            "threshold_pct_used": v.pct_used, "threshold_count_used": v.count_used, "threshold_operator_used": v.operator_used,
+        }
+
     def reconcile(self, rule: Mapping, failed: int, found: DataFrame | None, no_keys: Exception | None = None) -> dict[str, int]:
         """Exceptions on record brought in line with the keys found; how many were inserted, reactivated, deactivated.
 
@@ -228,27 +230,34 @@ class RuleExecutor:
             found = self.spark.createDataFrame([], "src_key_value string, n long")
         elif (distinct := found.count()) < failed:
             self.error(rule, "KEY_NOT_DISTINCT", f"{failed - distinct} rows share a key with another: {distinct} keys of {failed} rows")
+        return self.reconcile_all([rule], found.withColumn("rule_id", F.lit(rule["rule_id"]))).get(rule["rule_id"], {"inserted": 0, "reactivated": 0, "deactivated": 0})
+
+    def reconcile_all(self, rules: list[Mapping], found: DataFrame) -> dict[int, dict[str, int]]:
+        """The same for the keys (rule_id, src_key_value) of several rules, in one join and one append."""
         ctx, when = self.ctx, ms.now()
-        here = (F.col("run_key") == ctx.run_key) & (F.col("rule_id") == rule["rule_id"])
-        acted = violations.actions(self.store.current(ms.EXCEPTIONS, here), found).filter("action != 'KEEP'")
-        new = F.col("action") == "INSERT"
+        here = (F.col("run_key") == ctx.run_key) & F.col("rule_id").isin([r["rule_id"] for r in rules])
+        acted = violations.actions(self.store.current(ms.EXCEPTIONS, here), found, ("rule_id", "src_key_value")).filter("action != 'KEEP'")
+        about = ("rule_nm", "rule_group", "rule_variant", "database_name", "src_tbl_nm", "project_name", "process_name", "element_name", "dgr_nbr", "universe_version")
+        given = [(r["rule_id"], *(r.get(c) for c in about), r.get("sql_dialect"), ctx.params.get("run_type"), ctx.params.get("batch_schedule")) for r in rules]
+        about = (*about, "source_name", "run_type", "batch_schedule")
+        known = self.spark.createDataFrame([(g[0], *(None if v is None else str(v) for v in g[1:])) for g in given], ", ".join(["rule_id int", *(f"_{c} string" for c in about)]))
+        acted = acted.join(F.broadcast(known), "rule_id")  # a row for each rule of the group
+        new, gone = F.col("action") == "INSERT", F.col("action") == "DEACTIVATE"
         now_, today = F.lit(when).cast("timestamp_ntz"), F.lit(when.date())
-        given = {c: rule.get(c) for c in ("rule_nm", "rule_group", "rule_variant", "database_name", "src_tbl_nm", "project_name", "process_name", "element_name", "dgr_nbr", "universe_version")}
-        given |= {"source_name": rule.get("sql_dialect"), "run_type": ctx.params.get("run_type"), "batch_schedule": ctx.params.get("batch_schedule")}
         changed = acted.withColumns({
-            "record_id": F.coalesce("record_id", F.xxhash64(F.lit(rule["rule_id"]), F.lit(ctx.run_key), "src_key_value").bitwiseAND(F.lit((1 << 63) - 1))),
-            "rule_id": F.lit(rule["rule_id"]), "run_key": F.lit(ctx.run_key),
-            **{c: F.when(new, F.lit(v).cast("string")).otherwise(F.col(c)) for c, v in given.items()},
-            "run_id": F.when(F.col("action") == "DEACTIVATE", F.col("run_id")).otherwise(ctx.run_id),
-            "etl_is_curr_ind": F.when(F.col("action") == "DEACTIVATE", "N").otherwise("Y"),
+            "record_id": F.coalesce("record_id", F.xxhash64("rule_id", F.lit(ctx.run_key), "src_key_value").bitwiseAND(F.lit((1 << 63) - 1))), "run_key": F.lit(ctx.run_key),
+            **{c: F.when(new, F.col(f"_{c}")).otherwise(F.col(c)) for c in about},
+            "run_id": F.when(gone, F.col("run_id")).otherwise(ctx.run_id), "etl_is_curr_ind": F.when(gone, "N").otherwise("Y"),
             "etl_load_dt": F.when(new, today).otherwise(F.col("etl_load_dt")), "load_datetime": F.when(new, now_).otherwise(F.col("load_datetime")),
             "etl_last_updt_dt": F.when(~new, today), "last_updated_datetime": F.when(~new, now_), "last_updated_by": F.when(~new, ctx.run_id),
         })
         changed = scratch(changed.select("action", *ms.EXCEPTIONS.columns), "reconciled")
-        counts = {r["action"]: r["count"] for r in changed.groupBy("action").count().collect()}
+        counts: dict[int, dict[str, int]] = {}
+        for r in changed.groupBy("rule_id", "action").count().collect():
+            counts.setdefault(r["rule_id"], {"inserted": 0, "reactivated": 0, "deactivated": 0})[{"INSERT": "inserted", "REACTIVATE": "reactivated"}.get(r["action"], "deactivated")] = r["count"]
         if counts:
             self.store.append(ms.EXCEPTIONS, changed, "U")
-        return {"inserted": counts.get("INSERT", 0), "reactivated": counts.get("REACTIVATE", 0), "deactivated": counts.get("DEACTIVATE", 0)}
+        return counts
 
 
 # Groups
@@ -280,8 +289,8 @@ class RuleRunner:
     def run_group(self, group: str, run_key: str | None = None, triggered_by: str = "SYSTEM", params: Mapping | None = None, variant: str | None = None, filters: Mapping | None = None, text_params: Mapping | None = None, batch: bool = False) -> dict:
         """Runs a group's rules in order, or side by side if it allows that; returns a summary.
 
-        batch: the keys of all rules that analyse are found in one job; rules
-        that fail, and all of them if the job does, run one by one.
+        batch: rules that analyse run together, a job for each step instead of
+        for each rule; the others, and all if a joint step fails, one by one.
         """
         run_key = run_key or ids.default_run_key()
         none = {"run_id": None, "total_rules": 0, "succeeded": 0, "errored": 0, "results": {}}
@@ -312,18 +321,17 @@ class RuleRunner:
         self._deactivate_earlier(group, run_key, run_id)
         ctx = RunContext(self.store, self.sources, run_id, run_key, dict(params or {}), dict(filters or {}), dict(text_params or {}))
         executor = RuleExecutor(ctx)
-        if batch and not sequential:
-            self._find_together(executor, rules)
-        workers = min(self.config.max_parallel_rules, len(rules))
-        results, halted = {}, False
+        results = self._run_together(executor, rules) if batch and not sequential else {}
+        rest, halted = [r for r in rules if r["rule_id"] not in results], False
+        workers = min(self.config.max_parallel_rules, len(rest))
         if sequential or workers < 2:
-            for r in rules:
+            for r in rest:
                 results[r["rule_id"]] = self._run_one(executor, r)
                 if sequential and results[r["rule_id"]] == "ERROR" and (r["on_failure"] or "").lower() == "halt_group":
                     halted = True
                     break
         else:
-            results = self._side_by_side(executor, rules, workers)
+            results |= self._side_by_side(executor, rest, workers)
         good = sum(s == "SUCCESS" for s in results.values())
         status = "HALTED" if halted else "COMPLETED"
         done = {"status": status, "ended_at": ms.now(), "rules_succeeded": good, "rules_errored": len(results) - good}
@@ -354,29 +362,43 @@ class RuleRunner:
         with ThreadPoolExecutor(workers) as pool:
             return dict(pool.map(inheritable_thread_target(self.spark)(run), rules))
 
-    def _find_together(self, executor: RuleExecutor, rules: list[dict]) -> None:
-        parts, ctx = [], executor.ctx
-        scopes: dict[tuple, list] = {}
+    def _run_together(self, executor: RuleExecutor, rules: list[dict]) -> dict[int, str]:
+        """Rules whose SQL analyses, in one job for keys, one for each table's total, one for exceptions, one for results.
+
+        What is left out here runs, and fails or not, on its own.
+        """
+        parts, asked, ctx, start = [], {}, executor.ctx, ms.now()
+        scope = {**ctx.params, **ctx.filters}
         for r in rules:
             try:
                 source = self.sources.get(r["sql_dialect"])
                 source.prepare(r["database_name"], r["src_tbl_nm"])
-                rows = violations.rule_rows(self.spark, executor.query(r))
+                query = executor.query(r)
+                rows = violations.rule_rows(self.spark, query)
                 parts.append(violations.keyed(rows, keys.split_columns(r["src_key_cols"])).select(F.lit(r["rule_id"]).alias("rule_id"), "src_key_value", "n"))
-                scopes.setdefault(((r["sql_dialect"] or "spark").lower(), r["database_name"], r["src_tbl_nm"]), []).append(r)
+                asked[r["rule_id"]] = r, query
             except Exception:
-                continue  # it fails again, and is recorded, on its own
-        if not parts:
-            return
+                log.info("rule %s is not part of the batch", r["rule_id"])
         try:
+            if not parts:
+                return {}
             found = scratch(reduce(DataFrame.unionByName, parts), "violations")
+            sums = {x["rule_id"]: x for x in found.groupBy("rule_id").agg(F.sum("n").alias("failed"), F.count("*").alias("distinct")).collect()}
+            for t in {((r["sql_dialect"] or "spark").lower(), r["database_name"], r["src_tbl_nm"]) for r, _ in asked.values()}:
+                ctx.totals.count_together(self.sources.get(t[0]), *t, [scope])
+            judged = {}
+            for rule_id, (r, query) in asked.items():
+                failed = sums[rule_id]["failed"] if rule_id in sums else 0
+                judged[rule_id] = r, executor.judged(r, query, failed, *executor.total(r)), failed - (sums[rule_id]["distinct"] if rule_id in sums else 0)
+            executor.reconcile_all([r for r, *_ in judged.values()], found)
         except Exception:
             log.warning("the rules of group %s run one by one", rules[0]["rule_group"])
-            return
-        for (dialect, database, table), part in scopes.items():
-            ctx.totals.count_together(self.sources.get(dialect), dialect, database, table, [{**ctx.params, **ctx.filters}])
-            for r in part:
-                ctx.found[r["rule_id"]] = found.filter(F.col("rule_id") == r["rule_id"]).select("src_key_value", "n")
+            return {}
+        for r, _, repeated in judged.values():
+            if repeated:
+                executor.error(r, "KEY_NOT_DISTINCT", f"{repeated} rows share a key with another: {sums[r['rule_id']]['distinct']} keys of {sums[r['rule_id']]['failed']} rows")
+        self.store.append(ms.RESULTS, [executor.result_row(r, start, **{k: v for k, v in values.items() if k != "write_result"}) for r, values, _ in judged.values()])
+        return dict.fromkeys(judged, "SUCCESS")
 
     def run_groups(self, groups: list[str], run_key: str | None = None, **options: object) -> dict[str, dict]:
         run_key = run_key or ids.default_run_key()  # one for all
