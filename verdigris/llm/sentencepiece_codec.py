@@ -88,8 +88,8 @@ def build(model: bytes):
 class Codec:
     """The rebuilt tokenizer beside the library's own, for batches of texts.
 
-    If no piece has a marker after another character, no piece crosses such a
-    place, and texts are cut there into words: the library's model sees each word
+    If no piece of a BPE model has a marker after another character, no merge
+    crosses such a place, and texts are cut there into words: the model sees each word
     once, and it is remembered.  This takes a third of the CPU time of encoding
     whole texts in batches on the library's threads, as models without such a
     vocabulary do, and a Spark task has one core.
@@ -107,12 +107,13 @@ class Codec:
         proto = pb.ModelProto.FromString(model)
         norm = proto.normalizer_spec
         self.simple = norm.add_dummy_prefix and norm.escape_whitespaces and not norm.remove_extra_whitespaces and not norm.precompiled_charsmap
-        self.by_word = self.tok.pre_tokenizer is not None and self.simple
+        # Equal scores of a unigram model may fall otherwise in a whole text than in its words.
+        self.by_word = self.tok.pre_tokenizer is not None and self.simple and proto.trainer_spec.model_type == BPE
         self.strips = norm.add_dummy_prefix
         self.seen: dict[str, list[int]] = {}
         self.differing: set[str] = set()
         self.cut = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+").findall
-        self.bytes_of = pa.array([bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else b"" if p.type == CONTROL else p.piece.replace(SPACE_MARK, " ").encode() for p in proto.pieces], pa.binary())
+        self.bytes_of = pa.array([bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else b"" if p.type == CONTROL else proto.trainer_spec.unk_surface.encode() if p.type == UNKNOWN else p.piece.replace(SPACE_MARK, " ").encode() for p in proto.pieces], pa.binary())
         self.np = np
 
     def normal(self, text: str) -> str:
