@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 from functools import reduce
@@ -13,6 +14,15 @@ SUFFIXES = (".csv", ".tsv", ".parquet", ".xlsx", ".xls")
 SEPARATORS = {".csv": ",", ".tsv": "\t"}
 
 
+def charset(name: str) -> str:
+    """Spark's name of an encoding, from any of its names; one that Spark does not read is refused by Spark itself."""
+    try:
+        plain = codecs.lookup(name).name
+    except LookupError:
+        return name
+    return {"iso8859-1": "ISO-8859-1", "ascii": "US-ASCII"}.get(plain, plain.upper())
+
+
 def view_name(source: str) -> str:
     """The last suffix off, other characters than letters, digits and _ as _; t for nothing, t_ before a digit."""
     name = re.sub(r"[^0-9A-Za-z_]", "_", re.sub(r"\.[^./]*$", "", source))
@@ -58,7 +68,7 @@ def read(spark: SparkSession, path: str, encoding: str = "utf-8", max_mb: int =
 
 
 def _separated(spark: SparkSession, path: str, sep: str, encoding: str, base: str | None) -> DataFrame:
-    reader = spark.read.options(header=True, inferSchema=True, sep=sep, encoding=encoding, quote='"', escape='"', multiLine=False)
+    reader = spark.read.options(header=True, inferSchema=True, sep=sep, encoding=charset(encoding), quote='"', escape='"', multiLine=False)
     if base:
         reader = reader.option("basePath", base)
     files = _files(spark, path) if any(c in path for c in "*?[{") else [path]
