@@ -30,9 +30,16 @@ _queries: dict[str, Query] = {}
 _sql: dict[str, str] = {}
 
 
+_schemas: dict[str, object] = {}
+
+
 def views(spark: SparkSession, sf_dir: str) -> None:
+    """The tables as views.  A path's schema is read from its files once in a process."""
     for t in TABLES:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        path = f"{sf_dir}/{t}.parquet"
+        if path not in _schemas:
+            _schemas[path] = spark.read.parquet(path).schema
+        spark.read.schema(_schemas[path]).parquet(path).createOrReplaceTempView(t)
 
 
 def query(name: str, sql: str | None = None):

@@ -280,9 +280,8 @@ class RuleRunner:
             try:
                 where = F.col("run_key") == run_key if table.partition else None
                 old = self.store.current(table, where).filter((F.col("rule_group") == group) & (F.col("run_key") == run_key) & (F.col("run_id") != run_id) & (F.col(flag) == "Y"))
-                old = scratch(old, "earlier")
                 if not old.isEmpty():
-                    self.store.change(table, old, **{flag: "N", "last_updated_datetime": when}, **by)
+                    self.store.change(table, scratch(old, "earlier"), **{flag: "N", "last_updated_datetime": when}, **by)
             except Exception:
                 log.exception("group %s: earlier rows of %s stay active", group, table.name)
 

@@ -52,9 +52,8 @@ class SamplingRunner:
         """Earlier attempts' errors of this run are no longer active; never raises."""
         try:
             old = self.store.current(ms.SAMPLING_ERRORS).filter((F.col("run_key") == run_key) & (F.col("run_id") != run_id) & (F.col("active_ind") == "Y"))
-            old = scratch(old, "earlier")
             if not old.isEmpty():
-                self.store.change(ms.SAMPLING_ERRORS, old, active_ind="N", last_updated_datetime=F.lit(ms.now()).cast("timestamp_ntz"))
+                self.store.change(ms.SAMPLING_ERRORS, scratch(old, "earlier"), active_ind="N", last_updated_datetime=F.lit(ms.now()).cast("timestamp_ntz"))
             self.store.append(ms.SAMPLING_ERRORS, [{
                 "error_id": self.store.next_seq(), "run_id": run_id, "process_name": config.get("process_name"), "run_key": run_key, "error_type": kind,
                 "error_message": ms.short(message), "active_ind": "Y", "occurred_at": ms.now(),
@@ -129,9 +128,9 @@ class SamplingRunner:
         if earlier:
             when = F.lit(ms.now()).cast("timestamp_ntz")
             for table in (ms.SAMPLE_SELECTIONS, ms.SAMPLE_ATTRS):
-                old = scratch(self.store.current(table, F.col("sample_run_id").isin(earlier)).filter("etl_is_curr_ind = 'Y'"), "earlier")
+                old = self.store.current(table, F.col("sample_run_id").isin(earlier)).filter("etl_is_curr_ind = 'Y'")
                 if not old.isEmpty():
-                    self.store.change(table, old, etl_is_curr_ind="N", last_updated_datetime=when)
+                    self.store.change(table, scratch(old, "earlier"), etl_is_curr_ind="N", last_updated_datetime=when)
         return len(earlier)
 
     def run_process(self, process: str, run_key: str | None = None, project: str | None = None, **options: object) -> dict[int, dict]:
