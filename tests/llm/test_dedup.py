@@ -119,6 +119,16 @@ class TestNear:
         assert got == want
         assert len({c for i, c in got if 1000 <= i <= 2000}) == 1
 
+    @pytest.mark.parametrize("block", [near_dedup.BLOCK_TEXTS, 40])
+    def test_family_without_its_original(self, table, prose, monkeypatch, block):
+        """Edited copies that are alike in few pairs: no centre is near them all."""
+        monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", block)
+        rng, base = random.Random(4), prose(500, 998)
+        rows = [(k, changed(base, 7, rng)) for k in range(150)]
+        want = brute_classes(rows)
+        assert sorted((tuple(r)[:2] for r in near_dedup.classify(table(rows)).collect()), key=repr) == want
+        assert 1 < len({c for _, c in want}) < 150
+
     def test_awkward(self, table, awkward):
         got = sorted((tuple(r)[:2] for r in near_dedup.classify(table(awkward)).collect()), key=repr)
         assert got == brute_classes(awkward)

@@ -17,7 +17,9 @@ samples make a band.  Texts that share a band are candidates:
 - in a larger one each text is compared with the bucket's centre, the text whose
   bands are the most common ones (edited copies share bands with their original
   more than with each other), and again with the centres of finer buckets, of
-  two bands at a time, whose pairs are all candidates if they are few.
+  two bands at a time, whose pairs are all candidates if they are few;
+- what is then still in different classes of a larger bucket is compared text by
+  text, in tiles of two blocks of the bucket, so no pair of a bucket is left out.
 
 Candidates are verified on their whole texts: two texts are linked if their
 weighted Jaccard similarity, or that of the plain sets, is THRESHOLD or more.
@@ -27,7 +29,8 @@ and small stars; a class is named by its smallest identifier.
 Scale: texts are read once for frequencies, once for samples, and those of
 candidates once more.  Copies of a hot group are summed before any shuffle, no
 bucket is collected into one task, and hosts of many comparisons are repeated
-once for SHARE partners.
+once for SHARE partners.  The tiles of a bucket are quadratic in its texts if these
+are of several classes; each tile is bounded, and its pairs are no rows.
 
 Defined cases: null and empty texts are copies of each other and like no other
 text; rows that share an identifier share its class; a null identifier is
@@ -38,6 +41,7 @@ are kept by ``deduplicate``, whatever their names.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +58,8 @@ HASHES, ROWS = 60, 3
 BANDS = HASHES // ROWS
 ALL_PAIRS, FINE_PAIRS = 8, 4
 SHARE = 128
+#: Most texts and shingles of a block, on average; two blocks make a tile.
+BLOCK_TEXTS, BLOCK_SHINGLES = 512, 1 << 21
 #: The count-min sketch: DEPTH rows of WIDTH counters, moved in pieces.
 DEPTH, WIDTH_BITS, PIECE_BITS = 3, 18, 14
 #: Entries in the tables of random variables that samples draw from.
@@ -239,7 +245,7 @@ def bands(sampled: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, held) -> DataFrame:
-    """id, digest and bands (none for a text without words) for rows (id, text)."""
+    """id, digest, bands (none for a text without words) and number of shingles for rows (id, text)."""
     def run(batches):
         w = Weights(*held.value)
         for batch in batches:
@@ -248,10 +254,10 @@ def _signed(docs: DataFrame, held) -> DataFrame:
                 sampled = samples(s, w.of(s))
                 has = np.diff(s.bounds) > 0
                 offsets = pa.array(np.concatenate([[0], np.cumsum(has * BANDS)]), pa.int32())
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(offsets, pa.array(bands(sampled)[has].ravel(), pa.int64()))], names=["id", "digest", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(offsets, pa.array(bands(sampled)[has].ravel(), pa.int64())), pa.array(np.diff(s.bounds), pa.int64())], names=["id", "digest", "bands", "shingles"])
 
     rows = docs.select("id", F.unhex(F.sha2("text", 256)).alias("digest"), "text")
-    return text_batches(rows).mapInArrow(run, "id long, digest binary, bands array<long>")
+    return text_batches(rows).mapInArrow(run, "id long, digest binary, bands array<long>, shingles long")
 
 
 def _centred(members: DataFrame) -> DataFrame:
@@ -334,6 +340,103 @@ def _alike(h1, w1, h2, w2, threshold: float) -> bool:
     return max(similarities(h1, w1, h2, w2)) >= threshold - 1e-9
 
 
+class _Tile:
+    """The texts of one block of a bucket, with which others are compared at once through an index of their shingles.
+
+    Links are told that join two classes the tile has not joined yet.
+    """
+
+    def __init__(self):
+        self.hosts, self.parts, self.root = [], [], {}
+
+    def _find(self, class_: int) -> int:
+        while (up := self.root.get(class_, class_)) != class_:
+            class_ = up
+        return class_
+
+    def index(self) -> None:
+        """Two indexes: the texts of the most common class need not be compared with each other."""
+        common = Counter(x[1] for x in self.hosts).most_common(1)[0][0]
+        for only, group in ((common, [x for x in self.hosts if x[1] == common]), (None, [x for x in self.hosts if x[1] != common])):
+            if group:
+                h, weight = (np.concatenate([x[k] for x in group]) for k in (2, 3))
+                sizes = np.array([len(x[2]) for x in group])
+                order = np.argsort(h, kind="stable")
+                self.parts.append((only, group, h[order], np.repeat(np.arange(len(group)), sizes)[order], weight[order], sizes, np.array([x[3].sum() for x in group])))
+
+    def links(self, text: tuple, threshold: float) -> list[tuple[int, int]]:
+        id_, class_, mine, weight = text
+        found = []
+        for only, group, h, of, w, sizes, sums in self.parts:
+            if class_ == only:
+                continue
+            low = np.searchsorted(h, mine)
+            n = np.searchsorted(h, mine, side="right") - low
+            at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            both = np.bincount(of[at], minlength=len(group))
+            least = np.bincount(of[at], np.minimum(w[at], np.repeat(weight, n)), len(group))
+            like = np.maximum(both / (sizes + len(mine) - both), least / (sums + weight.sum() - least))
+            for k in np.flatnonzero(like >= threshold - 1e-9):
+                a, b = self._find(class_), self._find(group[k][1])
+                if a != b:
+                    self.root[max(a, b)] = min(a, b)
+                    found.append((group[k][0], id_))
+        return found
+
+    def among(self, threshold: float) -> list[tuple[int, int]]:
+        return [x for text in self.hosts for x in self.links(text, threshold)]
+
+
+def _across(large: DataFrame, crowded: DataFrame, classes: DataFrame, docs: DataFrame, held, threshold: float) -> DataFrame:
+    """Links (a, b) between texts of a bucket that are in different classes, enough of them to join the classes that any such link joins."""
+    sized = crowded.groupBy("id").agg(F.sum("shingles").alias("shingles"))
+    known = large.select("key", "id").distinct().join(sized, "id").join(classes, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
+    blocks_ = F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("shingles") / BLOCK_SHINGLES)).cast("int")
+    mixed = known.groupBy("key").agg(F.min("class_id").alias("least"), F.max("class_id").alias("most"), blocks_.alias("blocks")).filter("least < most").select("key", "blocks")
+    placed = known.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    tiles = placed.select("key", "id", "class_id", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    tiles = tiles.select("key", "id", "class_id", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("part"))
+    tiles = written(tiles, "near-tiles")
+    texts = join_checked(docs, tiles.select("id").distinct(), "id", "left_semi").dropDuplicates(["id", "text"])
+    rows = texts.join(tiles, "id").select("key", "i", "j", "part", "id", "class_id", "text")
+
+    def compare(batches):
+        w, tile, now = Weights(*held.value), _Tile(), None
+
+        def begun():
+            """Index the block when all of it is there; its own pairs are those of the tile on the diagonal."""
+            if now is None or tile.parts or not tile.hosts:
+                return []
+            tile.index()
+            return tile.among(threshold) if now[1] == now[2] else []
+
+        def told(found):
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            for b in _text_blocks(batch):
+                s = Shingles(b.column(6))
+                weight = w.of(s)
+                found = []
+                for n, (key, i, j, part, id_, class_) in enumerate(zip(*(b.column(k).to_pylist() for k in range(6)), strict=True)):
+                    # Copies: a slice would keep its whole block.
+                    text = id_, class_, s.hash[s.bounds[n] : s.bounds[n + 1]].copy(), weight[s.bounds[n] : s.bounds[n + 1]].copy()
+                    if now != (key, i, j):
+                        found += begun() if now and now[1] == now[2] else []
+                        tile, now = _Tile(), (key, i, j)
+                    if part == 0:
+                        tile.hosts.append(text)
+                    else:
+                        found += begun() + tile.links(text, threshold)
+                if found:
+                    yield told(found)
+        if now and now[1] == now[2]:
+            yield told(begun())
+
+    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "part")
+    return written(text_batches(dealt).mapInArrow(compare, "a long, b long"), "near-across")
+
+
 def components(links: DataFrame) -> DataFrame:
     """id, class_id (the smallest id connected with it) for every id in links (a, b).
 
@@ -369,7 +472,7 @@ def _classified(df: DataFrame, id_col: str, text_col: str, threshold: float) ->
     held = spark.sparkContext.broadcast(frequencies(docs))
     signed = written(_signed(docs, held), "near-signed")
     # Texts, each by the smallest id that has it.
-    unique = signed.groupBy("digest").agg(F.min("id").alias("text_id"), F.first("bands").alias("bands"))
+    unique = signed.groupBy("digest").agg(F.min("id").alias("text_id"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles"))
     unique = written(unique, "near-texts")
     keyed = unique.select(F.col("text_id").alias("id"), F.explode("bands").alias("key"))
     members = written(_bucketed(keyed), "near-members")
@@ -383,6 +486,9 @@ def _classified(df: DataFrame, id_col: str, text_col: str, threshold: float) ->
     links = _verified(candidates, docs, held, threshold)
     # Texts of one id are one document.
     classes = components(links)
+    across = _across(large, crowded, classes, docs, held, threshold)
+    if not across.isEmpty():
+        classes = components(classes.select(F.col("id").alias("a"), F.col("class_id").alias("b")).union(across))
     texts = unique.select("digest", "text_id").join(classes.withColumnRenamed("id", "text_id"), "text_id", "left").select("digest", F.coalesce("class_id", "text_id").alias("class_id"))
     return signed.select("id", "digest").join(texts, "digest").select("id", "class_id")
 
