@@ -113,6 +113,14 @@ class TestUrls:
         got = url_filter.judge(pages, rules=(), labelled=labelled).collect()
         assert sorted((r["page_id"], r["verdict"], r["decided_by"]) for r in got) == [(1, "block", "mined"), (2, "allow", "mined"), (3, "allow", "default"), (3, "allow", "default")]
 
+    def test_rules_of_many_tokens(self, spark):
+        """Only all four query keys together tell a label: any three of them come with either."""
+        keys = ["a", "b", "c", "d"]
+        url = lambda some: "http://x.io/?" + "&".join(f"{k}=1" for k in some)
+        labelled = [(url(keys), "block")] * 40 + [(url([k for k in keys if k != x]), "allow") for x in keys for _ in range(20)]
+        got = url_filter.judge(spark.createDataFrame([(1, url(keys) + "&e=1")], "page_id long, url string"), rules=(), labelled=spark.createDataFrame(labelled, "url string, label string"))
+        assert [(r["verdict"], r["decided_by"], r["confidence"]) for r in got.collect()] == [("block", "mined", 1.0)]
+
     def test_empty(self, spark):
         pages = spark.createDataFrame([], "page_id long, url string")
         assert url_filter.judge(pages).count() == 0

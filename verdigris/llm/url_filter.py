@@ -33,7 +33,6 @@ from .common import join_checked, table, written
 RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
 MIN_SUPPORT = 0.02
 MIN_CONFIDENCE = 0.9
-MAX_TOKENS = 3
 _LABEL = "label="
 
 
@@ -69,14 +68,14 @@ def tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(scheme, tagged("h:", labels), tagged("w:", F.filter(words, lambda x: x != "")), tagged("p:", segments), tagged("q:", keys), fragment))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """need (tokens), label, confidence, support, key (the rarest token of need) of rules mined from rows (url, label)."""
     spark = labelled.sparkSession
     rows = written(labelled.select(F.array_distinct(F.concat(tokens(F.col("url")), F.array(F.concat(F.lit(_LABEL), "label")))).alias("items")), "url-labelled")
     if rows.isEmpty():
         return spark.createDataFrame([], "need array<string>, label string, confidence double, support double, key string")
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
-    rules = model.associationRules.filter((F.size("consequent") == 1) & F.col("consequent")[0].startswith(_LABEL) & (F.size("antecedent") <= max_tokens) & ~F.exists("antecedent", lambda x: x.startswith(_LABEL)))
+    rules = model.associationRules.filter((F.size("consequent") == 1) & F.col("consequent")[0].startswith(_LABEL) & ~F.exists("antecedent", lambda x: x.startswith(_LABEL)))
     rules = rules.select(F.array_sort("antecedent").alias("need"), F.substring(F.col("consequent")[0], len(_LABEL) + 1, 1 << 20).alias("label"), "confidence", "support")
     often = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     rarest = rules.select("need", F.explode("need").alias("token")).join(often, "token").groupBy("need").agg(F.min(F.struct("freq", "token"))["token"].alias("key"))
