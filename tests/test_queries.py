@@ -43,6 +43,17 @@ def test_drawn(spark, name, n):
     assert len(got) == n == len(set(got))
 
 
+def test_text_forms_of_all_rows(spark, tmp_path):
+    for t in catalogue.TABLES:
+        if t != "customer":
+            (tmp_path / f"{t}.parquet").symlink_to(SF / f"{t}.parquet")
+    customer = spark.read.parquet(f"{SF}/customer.parquet").limit(1).drop("c_custkey")
+    given = [14_999, 15_000, 150_001]
+    spark.createDataFrame([(k,) for k in given], "c_custkey long").crossJoin(customer).write.parquet(f"{tmp_path}/customer.parquet")
+    got = [r[0].split("|d=")[1] for r in catalogue.queries()["rule_key_text_forms"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(str(k * 1000000.5) for k in given)
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 

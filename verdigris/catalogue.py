@@ -120,7 +120,7 @@ _keys_of("rule_duplicate_columns", "SELECT c_custkey AS k, c_nationkey AS k FROM
 
 @query("rule_key_text_forms", "SELECT 't=' || CASE WHEN c_acctbal > 0 THEN 'True' ELSE 'False' END || '|d=' || (c_custkey * 1000000.5)::DOUBLE AS src_key_value FROM customer WHERE c_custkey < 15000")
 def _text_forms(spark, _):
-    rows = violations.rule_rows(spark, "SELECT c_acctbal > 0 AS t, CAST(c_custkey * 1000000.5 AS DOUBLE) AS d FROM customer WHERE c_custkey < 15000")
+    rows = violations.rule_rows(spark, "SELECT c_acctbal > 0 AS t, CAST(c_custkey * 1000000.5 AS DOUBLE) AS d FROM customer")
     return rows.select(keys.key_column(rows, ["t", "d"]).alias("src_key_value"))
 
 
