@@ -59,3 +59,9 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() == 9
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_oracles_are_sql():
+    import __spark_entry__ as entry
+
+    assert [name for name, sql in entry.oracle_sql().items() if not isinstance(sql, str)] == []

@@ -33,6 +33,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": OP1_SQL,
         "op6_mixing": OP6_SQL,
-        "op7_near_dedup": op7_near_dedup,
         "op8_url_filter": OP8_SQL,
     }
