@@ -77,6 +77,13 @@ class TestToxicity:
         assert sum(len(t) for _, t, _ in take(max_chars=5000)) <= 5000
         assert take(max_rows=0) == []
 
+    def test_long_texts_cost_only_themselves(self, spark, table):
+        short = [(k, f"text {k}") for k in range(30)]
+        long = [(100 + k, "x" * 6000) for k in range(30)]
+        labels = spark.createDataFrame([(i, 1, 0) for i, _ in short + long], "doc_id long, quality int, toxic int")
+        got = toxicity.sample(table(short + long), labels, "toxic", lambda i: F.lit(True), max_rows=30, max_chars=5000)
+        assert [i for i, *_ in got] == [i for i, _ in short]
+
     def test_reject_keeps_columns(self, table):
         model = toxicity.Model(np.zeros(1 << toxicity.BITS), (np.zeros(1), np.zeros(1)))
         df = table([(1, "a"), (2, None)], more="__score")

@@ -263,17 +263,18 @@ def held_out(id_: Column) -> Column:
 def sample(docs: DataFrame, labels: DataFrame, label: str, use: Column, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
     """At most max_rows labelled texts with at most max_chars characters together, by a hash of the identifier.
 
-    First the identifiers are chosen, by their lengths, then only their texts are fetched.
+    First the identifiers are chosen, by their lengths, then only their texts are
+    fetched.  A text that does not fit is passed over.
     """
     marks = labels.filter(F.col(label).isin(0, 1)).select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y")).groupBy("id").agg(F.max("y").alias("y"))
     sized = docs.select(F.col(id_col).alias("id"), F.length(text_col).alias("n")).filter(use(F.col("id")) & F.col("n").isNotNull())
     order = F.xxhash64("id")
-    found = sized.join(marks, "id").groupBy("id", "y").agg(F.max("n").alias("n")).orderBy(order, "id").limit(max_rows).collect()
+    found = sized.join(marks, "id").groupBy("id", "y").agg(F.max("n").alias("n")).filter(F.col("n") <= max_chars).orderBy(order, "id").limit(max_rows).collect()
     chosen, n = {}, 0
     for r in found:
+        if n + r["n"] > max_chars:
+            continue
         n += r["n"]
-        if n > max_chars:
-            break
         chosen[r["id"]] = r["y"]
     if not chosen:
         return []
