@@ -93,3 +93,10 @@ def test_queries(spark, tmp_path, table):
             joined = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
             assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest() and r["spans"] == joined
             assert [r[f"n_{k}"] for k in kinds] == [sum(x[0] == k for x in want) for k in kinds]
+
+
+def test_nested_secret_reaches_its_account():
+    """The assigned value ends before the account, the hex inside it does not."""
+    text = "password=deadbeefdeadbeef-" + "z" * 250 + "\nuser: bob"
+    found = secrets.spans_of(text)
+    assert [(k, p) for k, _, _, p in found if k == "weak_account"] == [("weak_account", "assign")], found

@@ -102,6 +102,12 @@ def spans_of(text: str | None, max_gap: int = MAX_GAP) -> list[tuple[str, int, i
     by_role: dict[str, list[tuple[int, int, str]]] = {"identifier": [], "secret": [], "endpoint": []}
     for k, a, b in sorted([*strong, *weak], key=lambda x: x[1]):
         by_role[_ROLE[k]].append((a, b, k))
+    # Parts nest: for each place, the part of its scope that reaches farthest so far.
+    farthest: dict[str, list[tuple[int, int, str]]] = {}
+    for role, parts in by_role.items():
+        so_far = farthest[role] = []
+        for x in parts:
+            so_far.append(so_far[-1] if so_far and so_far[-1][1] > x[1] and scope(so_far[-1][0]) == scope(x[0]) else x)
 
     def partner(kind: str, a: int, b: int) -> str | None:
         """The nearest complementary part of the scope within reach.  An endpoint alone complements identifiers and secrets, but two endpoints or two secrets make no credential."""
@@ -110,7 +116,7 @@ def spans_of(text: str | None, max_gap: int = MAX_GAP) -> list[tuple[str, int, i
             if role == _ROLE[kind]:
                 continue
             k = bisect.bisect_left(parts, (a,))
-            for x, y, other in parts[max(0, k - 1) : k + 1]:
+            for x, y, other in (*farthest[role][max(0, k - 1) : k], *parts[k : k + 1]):
                 gap = x - b if x >= b else a - y
                 if gap <= max_gap and scope(x) == scope(a) and (best is None or gap < best[0]):
                     best = gap, other
