@@ -187,6 +187,13 @@ class TestSentencePiece:
         assert "token_ids" not in sentencepiece_codec.encode(df, ids=False).columns
 
 
+    @needs_model
+    def test_query_hands_over_ids(self, spark, tmp_path, table, awkward):
+        table(awkward).write.parquet(f"{tmp_path}/documents.parquet")
+        back = sentencepiece_codec.decode(sentencepiece_codec.op9_sentencepiece(spark, str(tmp_path))).collect()
+        assert sorted((str(r["doc_id"]), r["text"]) for r in back) == sorted((str(i), t or "") for i, t in awkward)
+
+
 @needs_model
 def test_pipeline_against_its_stages_by_hand(spark, tmp_path, table, prose):
     """Documents with copies, near copies and insults, and what each stage must do to them."""

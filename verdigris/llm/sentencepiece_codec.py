@@ -212,4 +212,4 @@ def decode(df: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_col: s
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(table(spark, sf_dir, "documents"), ids=False)
+    return encode(table(spark, sf_dir, "documents"))
