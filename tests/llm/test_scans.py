@@ -70,7 +70,7 @@ def test_linked_secrets():
     assert kinds(token) == [] and kinds(f"see https://db.example.com now") == []
     assert kinds(f"AKIA{'X' * 16} {token}") == ["access", "weak_token"]
     assert kinds(f"AKIA{'X' * 16}\n\n{token}") == ["access"]  # another scope
-    assert kinds(f"AKIA{'X' * 16} {'. ' * 200} {token}") == ["access"]  # too far
+    assert kinds(f"AKIA{'X' * 16} {'. ' * 9000} {token}") == ["access", "weak_token"]  # one scope, however far
     assert kinds("user=bob password=abc123 https://db.example.com/x") == ["weak_account", "weak_assign", "endpoint"]
     assert secrets.spans_of(f"AKIA{'X' * 16} {token}")[1][3] == "access"
 
@@ -100,3 +100,33 @@ def test_nested_secret_reaches_its_account():
     text = "password=deadbeefdeadbeef-" + "z" * 250 + "\nuser: bob"
     found = secrets.spans_of(text)
     assert [(k, p) for k, _, _, p in found if k == "weak_account"] == [("weak_account", "assign")], found
+
+
+@pytest.mark.parametrize("url", ["https://docs.example.com/d/aB3dE5fG7hI9jK1lM3nO5pQ7/edit", "https://x.com/?user=bob123", "http://x.org/login=abcdef?client_id=zzz9", "ftp://h/aB3dE5fG7hI9jK1lM3nO5pQ7=="])
+def test_a_lone_endpoint_is_no_credential(url):
+    assert secrets.spans_of(f"see {url} today") == []
+    assert secrets.spans_of(f"see {url} or {url} today") == []
+
+
+def brute_partners(t):
+    """Every pair of parts of different roles that are disjoint and in one scope."""
+    found = secrets.spans_of(t)
+    scope = lambda at: len([1 for m in re.finditer(r"\n[\x20\t\r]*\n", t) if m.start() <= at])
+    for k, a, b, partner in found:
+        near = [(x - b if x >= b else a - y, secrets._RANK[o], o) for o, x, y, _ in found if secrets._ROLE[o] != secrets._ROLE[k] and (x >= b or y <= a) and scope(x) == scope(a)]
+        yield k, partner, min(near)[2] if near else None
+
+
+def test_partners_against_brute_force():
+    import random
+
+    rng = random.Random(5)
+    pieces = ["password=abc123", "secret: 'abcdefABCDEF12'", "AKIA" + "Q" * 16, "deadbeef" * 3, "aB3dE5fG7hI9jK1lM3nO5pQ7", "user=bob", "https://h.example.com/x?user=bob123", "word", "\n", "\n\n", " ", "token=deadbeefdeadbeef-"]
+    seen = 0
+    for _ in range(3000):
+        t = "".join(rng.choice(pieces) + rng.choice(["", " "]) for _ in range(rng.randint(1, 12)))
+        for kind, partner, want in brute_partners(t):
+            assert partner == want, t
+            assert partner or kind in secrets.BASE_KINDS, t
+            seen += partner is not None
+    assert seen > 1000

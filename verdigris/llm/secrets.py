@@ -4,9 +4,12 @@ A scope is a block of text between blank lines.  Parts of a credential are
 access identifiers, secrets and endpoints, each with code-point offsets.  The
 strong patterns (assign, access, hex) are always reported.  Weak candidates
 (short assigned values, opaque tokens, account names, endpoints) are reported
-only when a complementary part lies in the same scope at most ``max_gap`` code
-points away: both lists are sorted by offset and joined as intervals by
-bisection, so a text with many parts costs n log n and no pair is emitted.
+only when a complementary part stands elsewhere in the same scope, however far:
+parts that overlap are one thing written once, and do not complement each other,
+and what lies within an endpoint belongs to it.  Each part's partner is the
+nearest one; parts are sorted by where they start and end and joined as
+intervals by bisection, so a text with many parts costs n log n and no pair is
+emitted.
 
 Defined cases: a null text counts as empty and has no spans; a null id is kept;
 repeated rows give repeated results; further columns of the input are ignored;
@@ -29,7 +32,8 @@ from .common import table, text_batches, texts
 
 BASE_KINDS = ("assign", "access", "hex")
 WEAK_KINDS = ("weak_assign", "weak_token", "weak_account", "endpoint")
-MAX_GAP = 200
+
+_RANK = {k: i for i, k in enumerate((*BASE_KINDS, *WEAK_KINDS))}
 
 SPANS = "array<struct<kind:string,start:long,end:long,partner:string>>"
 
@@ -79,60 +83,76 @@ def _opaque(s: str) -> bool:
     return any(map(str.isdigit, s)) and any(map(str.islower, s)) and any(map(str.isupper, s)) and _entropy(s) >= 3.5
 
 
-def spans_of(text: str | None, max_gap: int = MAX_GAP) -> list[tuple[str, int, int, str | None]]:
+class _Disjoint:
+    """Intervals, some of which may overlap, merged to disjoint ones."""
+
+    def __init__(self, parts: list[tuple[int, int]]):
+        self.starts, self.ends = [], []
+        for a, b in sorted(parts):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def free(self, a: int, b: int) -> bool:
+        """True if nothing of a to b is in any of them."""
+        k = bisect.bisect_left(self.starts, b)
+        return k == 0 or self.ends[k - 1] <= a
+
+
+def spans_of(text: str | None) -> list[tuple[str, int, int, str | None]]:
     """(kind, start, end, kind of the part it is linked with or None) by start, then kind as listed."""
     t = text or ""
     strong = [("assign", a, b) for a, b in _assigned(t, 12, math.inf)]
     if "AKIA" in t:
         strong += [("access", *m.span()) for m in _ACCESS.finditer(t) if m.end() - m.start() >= 18]
     strong += [("hex", *m.span()) for m in _HEX.finditer(t)]
-    covered = sorted((a, b) for _, a, b in strong)
-    starts = [a for a, _ in covered]
-    free = lambda a, b: not any(y > a for _, y in covered[max(0, bisect.bisect_left(starts, b) - 3) : bisect.bisect_left(starts, b)])
+    taken = _Disjoint([x[1:] for x in strong])
+    endpoints = [("endpoint", *m.span()) for m in _ENDPOINT.finditer(t)] if "://" in t else []
+    endpoints = [x for x in endpoints if taken.free(*x[1:])]
     weak = [("weak_assign", a, b) for a, b in _assigned(t, 6, 11)]
     weak += [("weak_token", *m.span()) for m in _TOKEN.finditer(t) if _opaque(m[0])]
     weak += [("weak_account", *m.span()) for m in _ACCOUNT.finditer(t)] if "=" in t or ":" in t else []
-    weak += [("endpoint", *m.span()) for m in _ENDPOINT.finditer(t)] if "://" in t else []
-    weak = [x for x in weak if free(*x[1:])]
-    order = {k: i for i, k in enumerate((*BASE_KINDS, *WEAK_KINDS))}
-    if not weak:
-        return [(*x, None) for x in sorted(strong, key=lambda x: (x[1], order[x[0]]))]
+    taken = _Disjoint([x[1:] for x in (*strong, *endpoints)])
+    weak = [*endpoints, *(x for x in weak if taken.free(*x[1:]))]
+    if len(strong) + len(weak) < 2:
+        return [(*x, None) for x in strong]
     breaks = [m.start() for m in _BLANK.finditer(t)]
     scope = lambda at: bisect.bisect_right(breaks, at)
-    by_role: dict[str, list[tuple[int, int, str]]] = {"identifier": [], "secret": [], "endpoint": []}
-    for k, a, b in sorted([*strong, *weak], key=lambda x: x[1]):
-        by_role[_ROLE[k]].append((a, b, k))
-    # Parts nest: for each place, the part of its scope that reaches farthest so far.
-    farthest: dict[str, list[tuple[int, int, str]]] = {}
-    for role, parts in by_role.items():
-        so_far = farthest[role] = []
-        for x in parts:
-            so_far.append(so_far[-1] if so_far and so_far[-1][1] > x[1] and scope(so_far[-1][0]) == scope(x[0]) else x)
+    by_role = {role: ([], []) for role in ("identifier", "secret", "endpoint")}
+    for k, a, b in [*strong, *weak]:
+        by_role[_ROLE[k]][0].append((a, _RANK[k], a, k))
+        by_role[_ROLE[k]][1].append((b, -_RANK[k], a, k))
+    for parts in by_role.values():
+        for way in parts:
+            way.sort()
 
     def partner(kind: str, a: int, b: int) -> str | None:
-        """The nearest complementary part of the scope within reach.  An endpoint alone complements identifiers and secrets, but two endpoints or two secrets make no credential."""
-        best: tuple[int, str] | None = None
-        for role, parts in by_role.items():
+        """The nearest complementary part of the scope: the last to end before a, or the first to start after b; of equally near ones the kind listed first.  Two endpoints or two secrets make no credential."""
+        best: tuple[int, int, str] | None = None
+        for role, (by_start, by_end) in by_role.items():
             if role == _ROLE[kind]:
                 continue
-            k = bisect.bisect_left(parts, (a,))
-            for x, y, other in (*farthest[role][max(0, k - 1) : k], *parts[k : k + 1]):
-                gap = x - b if x >= b else a - y
-                if gap <= max_gap and scope(x) == scope(a) and (best is None or gap < best[0]):
-                    best = gap, other
-        return best and best[1]
+            k, n = bisect.bisect_right(by_end, (a, math.inf)), bisect.bisect_left(by_start, (b,))
+            near = [(a - y, -nth, other, x) for y, nth, x, other in by_end[max(0, k - 1) : k]]
+            near += [(x - b, nth, other, x) for _, nth, x, other in by_start[n : n + 1]]
+            for gap, nth, other, x in near:
+                if scope(x) == scope(a) and (best is None or (gap, nth) < best[:2]):
+                    best = gap, nth, other
+        return best and best[2]
 
     linked = [(k, a, b, partner(k, a, b)) for k, a, b in weak]
-    return sorted([*((k, a, b, partner(k, a, b)) for k, a, b in strong), *(x for x in linked if x[3])], key=lambda x: (x[1], order[x[0]]))
+    return sorted([*((k, a, b, partner(k, a, b)) for k, a, b in strong), *(x for x in linked if x[3])], key=lambda x: (x[1], _RANK[x[0]]))
 
 
-def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_gap: int = MAX_GAP) -> DataFrame:
+def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, spans (array of kind, start, end, partner) for each row of df."""
     kind = df.schema[id_col].dataType
 
     def scan(batches):
         for b in batches:
-            rows = [[{"kind": k, "start": a, "end": e, "partner": p} for k, a, e, p in spans_of(t, max_gap)] for t in texts(b)]
+            rows = [[{"kind": k, "start": a, "end": e, "partner": p} for k, a, e, p in spans_of(t)] for t in texts(b)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("partner", pa.string())])))], names=["id", "spans"])
 
     return text_batches(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).mapInArrow(scan, f"id {kind.simpleString()}, spans {SPANS}").withColumnRenamed("id", id_col)
