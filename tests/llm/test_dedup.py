@@ -206,23 +206,28 @@ class TestFingerprints:
         assert fingerprint.likeness(print_(base), print_(prose(2000, 3))) < 0.3
         assert fingerprint.likeness(print_(""), print_(None)) == 1.0 and fingerprint.likeness(print_(""), print_(base)) == 0.0
 
+    @pytest.mark.parametrize("times", [1000, 40_000, 65_536, 200_000])
+    def test_one_line_many_times(self, times):
+        line = "the same line\n"
+        whole, other = line * times, line * (times - times // 2) + "another\n" * (times // 2)
+        print_ = fingerprint.fingerprint
+        assert print_(whole).any() and not np.array_equal(print_(whole), print_(""))
+        assert 0.6 < fingerprint.likeness(print_(whole), print_(other)) < 0.95
+        assert np.array_equal(fingerprint.delete(print_(whole), "the same line"), print_(line * (times - 1)))
+
     @pytest.mark.parametrize("n", [1, 3, 50])
-    def test_edited_follows_ids(self, table, prose, n):
+    @pytest.mark.parametrize("first", [0, 1 << 60, -(1 << 60)])
+    def test_edited_follows_ids(self, table, prose, n, first):
         rng = random.Random(n)
-        rows = [(k * 3, prose(rng.randrange(0, 90), k)) for k in rng.sample(range(200), 120)] + [(9, None), (1000, "last 🙂")]
-        df = table(rows)
-        got = {r["doc_id"]: r for r in fingerprint.edited(df, n=n).collect()}
-        order = sorted(dict(rows).items())
+        rows = [(first + k, prose(rng.randrange(0, 90), k)) for k in rng.sample(range(-100, 100), 120)]
+        rows += [(rows[7][0], None), (rows[7][0], "again"), (rows[9][0], rows[9][1]), (first + 1000, "last 🙂"), (first + 1000, "last 🙂")]
+        got = sorted((r["doc_id"], r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"], r["near_next"]) for r in fingerprint.edited(table(rows), n=n).collect())
+        order, want = sorted((i, t or "") for i, t in rows), []
         for (i, t), (_, following) in zip(order, order[1:] + order[:1], strict=True):
-            if i == 9:
-                continue  # may be there twice
-            t, following = t or "", following or ""
             half = len(t) // 2
-            want = t[: len(t) - half] + following[:half]
-            r = got[i]
-            assert (r["n_chars"], r["edited_sha256"]) == (len(t), hashlib.sha256(want.encode()).hexdigest())
-            assert r["edited_fingerprint"] == fingerprint.to_text(fingerprint.fingerprint(want))
-            assert r["near_next"] == fingerprint.likeness(fingerprint.fingerprint(t), fingerprint.fingerprint(following))
+            made, print_ = t[: len(t) - half] + following[:half], fingerprint.fingerprint
+            want.append((i, len(t), hashlib.sha256(made.encode()).hexdigest(), fingerprint.to_text(print_(t)), fingerprint.to_text(print_(made)), fingerprint.likeness(print_(t), print_(following))))
+        assert got == sorted(want)
 
     def test_awkward(self, table, awkward):
         got = fingerprint.edited(table(awkward)).collect()

@@ -1,13 +1,18 @@
 """Op 3, document fingerprints: a homomorphic multiset hash.
 
 Each paragraph (a line; long lines also by sentence, so that short documents
-have parts) is hashed to LANES signs, +1 or -1, and a document's fingerprint is
-the sum of its paragraphs' vectors modulo 2^16 in every lane.  So the order of
-paragraphs does not matter, a paragraph is inserted by adding its vector and
-deleted by subtracting it, and two fingerprints are equal only if the
-multisets are (apart from a chance of 2^-LANES).  As the signs have mean zero,
-the product of two sums estimates how many parts the documents share, with a
-standard error of about 1/sqrt(LANES) of their sizes.
+have parts) is hashed by SHAKE-128 to LANES words, odd numbers from -255 to 255,
+and a document's fingerprint is the sum of its paragraphs' vectors modulo 2^32
+in every lane.  So the order of paragraphs does not matter, a paragraph is
+inserted by adding its vector and deleted by subtracting it.  Different
+multisets have equal sums by a chance of about 2^-LANES or less; sums of
+LANES lanes are no guard against texts that are made to collide.  As the words
+have mean zero, the product of two sums estimates how many parts the documents
+share, with a standard error of about 1/sqrt(LANES) of their sizes.
+
+Equality, insertion and deletion hold for any number of paragraphs.  The
+likeness reads lanes as signed numbers, which they are up to 8,421,504 copies of
+one paragraph (2^31 / 255); beyond that its value means nothing.
 
 Defined cases: a null text counts as empty, whose fingerprint is all zeros and
 which is like another empty one (1.0) and unlike any other (0.0); a null id
@@ -18,7 +23,9 @@ table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -45,14 +52,14 @@ def parts_of(text: str) -> list[str]:
 
 
 def vector(parts: list[str]) -> np.ndarray:
-    """The sum of the parts' vectors, modulo 2^16."""
+    """The sum of the parts' vectors, modulo 2^32: of bytes w, each the word 2 w - 255."""
     total = np.zeros(LANES, np.int64)
-    for at in range(0, len(parts), 4096):
-        block = parts[at : at + 4096]
-        digests = b"".join(hashlib.blake2b(p.encode("utf-8", "surrogatepass"), digest_size=LANES // 8).digest() for p in block)
-        ones = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(len(block), -1), axis=1).sum(axis=0, dtype=np.int64)
-        total += 2 * ones - len(block)
-    return (total & 0xFFFF).astype(np.uint16)
+    for at in range(0, len(parts), 1024):
+        block = Counter(parts[at : at + 1024])
+        words = b"".join(hashlib.shake_128(p.encode("utf-8", "surrogatepass")).digest(LANES) for p in block)
+        times = np.fromiter(block.values(), np.int64, len(block))
+        total += 2 * (times @ np.frombuffer(words, np.uint8).reshape(len(block), LANES)) - 255 * times.sum()
+    return (total & 0xFFFFFFFF).astype(np.uint32)
 
 
 def fingerprint(text: str | None) -> np.ndarray:
@@ -69,20 +76,20 @@ def delete(print_: np.ndarray, paragraph: str) -> np.ndarray:
 
 
 def to_text(print_: np.ndarray) -> str:
-    return print_.astype(">u2").tobytes().hex()
+    return print_.astype(">u4").tobytes().hex()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Twice the shared parts over the parts of both, from 0 to 1; 1.0 only for equal fingerprints."""
     if np.array_equal(a, b):
         return 1.0
-    x, y = a.view(np.int16).astype(np.float64), b.view(np.int16).astype(np.float64)
+    x, y = a.view(np.int32).astype(np.float64), b.view(np.int32).astype(np.float64)
     like = 2 * float(x @ y) / float(x @ x + y @ y)
     return min(max(like, 0.0), 1.0 - 2.0**-20)
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, fingerprint (hexadecimal, 4 digits a lane) for each row of df."""
+    """id, fingerprint (hexadecimal, 8 digits a lane) for each row of df."""
     kind = df.schema[id_col].dataType.simpleString()
 
     def scan(batches):
@@ -101,7 +108,7 @@ def edit(text: str, following: str) -> str:
 def with_next(df: DataFrame, n: int | None = None) -> DataFrame:
     """id, text of df in parts whose rows follow each other by id, each with the first row of the next part.
 
-    The parts begin at ids that are quantiles of all ids.  A row whose id begins
+    The parts begin at ids that are about the quantiles of all ids.  A row whose id begins
     a part also goes to the part before it, marked as ahead; the first id of all
     goes also to the last part.  So each text is shuffled once, no row's
     neighbour lies in another part, and no part holds more than its share.
@@ -110,10 +117,17 @@ def with_next(df: DataFrame, n: int | None = None) -> DataFrame:
     n = n or partitions(spark)
     keyed = df.select("id", F.coalesce(F.col("text"), F.lit("")).alias("text"), F.coalesce(F.col("id").cast("long"), F.lit(_LAST)).alias("k"))
     ids = keyed.select("k")
-    least = ids.agg(F.min("k")).first()[0]
-    # Quantiles need a double; the least id at or after each is a true id.
-    marks = [int(x) for x in ids.approxQuantile("k", [i / n for i in range(1, n)], 1 / (4 * n))] if least is not None and n > 1 else []
-    starts = sorted({m for m in marks if m > least})
+    # Quantiles are doubles, which hold no long beyond 2^53: they only say about where parts begin, and the least id of each part says where.
+    marks = np.array(sorted({min(int(x), _LAST) for x in ids.approxQuantile("k", [i / n for i in range(1, n)], 1 / (4 * n))} if n > 1 else ()), np.int64)
+
+    @F.pandas_udf("int")
+    def nearly(k):
+        import pandas as pd
+
+        return pd.Series(np.searchsorted(marks, k.to_numpy(), side="right"))
+
+    starts = sorted(r["least"] for r in ids.groupBy(nearly("k").alias("part")).agg(F.min("k").alias("least")).collect())  # n at most
+    least, starts = (starts[0], starts[1:]) if starts else (None, [])
     count = len(starts) + 1
     bounds = spark.sparkContext.broadcast(np.array(starts, np.int64))
 
@@ -139,8 +153,6 @@ def edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     Numeric ids only, as the next document is the next by id.
     """
     def scan(batches):
-        import itertools
-
         rows = itertools.chain.from_iterable(zip(*(c.to_pylist() for c in b.columns), strict=True) for b in batches)
         for _, part in itertools.groupby(rows, key=lambda r: r[4]):
             yield from out(part)
@@ -161,8 +173,8 @@ def edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
                 done, size = [], 0
         for _ in part:
             pass
-        if before:  # no row after it in any part: cannot be, as the last part has the first row ahead
-            done.append(row(*before, before[1], before[2]))
+        if before:
+            raise RuntimeError(f"no row after id {before[0]}: every part ends with a row ahead")
         if done:
             yield pack(done)
 
