@@ -3,7 +3,6 @@ free column names, and text turned into numpy arrays."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -13,8 +12,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.scratch import shared_folder
+
 #: Largest side, in rows, that is broadcast after it has been counted.
 BROADCAST_ROWS = 200_000
+#: A key with a larger share of the rows than one in so many is dealt over so many tasks.
+HOT_KEYS, SALTS = 1000, 64
+#: So many rows are no burden for a task, whatever their keys.
+FEW_ROWS = 100_000
 #: Texts are turned into arrays in blocks of about so many characters.
 BLOCK_CHARS = 1 << 18
 #: Rows of texts that travel to Python at once; Spark's own setting of 10,000 long texts would fill an executor.
@@ -28,45 +33,87 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Only where the session has none (tests, a single machine) a local one is
-    made and set.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='verdigris-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     """df as a Parquet table in the shared folder, read again.
 
     It cuts the lineage, fixes what nondeterministic plans gave, outlives lost
-    executors, and goes when the application ends.
+    executors, and goes when the application ends, or by ``forget``.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    jvm = spark._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     df.write.options(**options).parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_written: dict[str, list[str]] = {}
+
+
+def tables(spark: SparkSession) -> list[str]:
+    """The paths of the tables that are there now."""
+    return list(_written.get(spark.sparkContext.applicationId, []))
+
+
+def forget(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes tables that nothing reads any more."""
+    mine = _written.get(spark.sparkContext.applicationId, [])
+    for path in paths:
+        if path in mine:
+            mine.remove(path)
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def small(df: DataFrame, most: int = BROADCAST_ROWS) -> bool:
     """True if df has at most so many rows; counts no further than that."""
     return df.limit(most + 1).count() <= most
 
 
+def lowest(df: DataFrame, order: Column, ties: str, k: int) -> DataFrame:
+    """The k rows of df (a written table) of the lowest hash.
+
+    Only about those are sorted: a bound below which a little more than k
+    hashes fall is known from the number of rows.  Should there be fewer, as
+    one key may have many rows, all are sorted.
+    """
+    if (n := df.count()) > 2 * k:
+        bound = min(-(1 << 63) + int((1 << 64) * 1.3 * k / n), (1 << 63) - 1)
+        cut = df.filter(order <= F.lit(bound))
+        if cut.count() >= k:
+            df = cut
+    return df.orderBy(order, ties).limit(k)
+
+
 def join_checked(left: DataFrame, right: DataFrame, on, how: str, most: int = BROADCAST_ROWS) -> DataFrame:
     """left joined with right, which is broadcast if its counted rows allow it
     and else shuffled like left.  right has narrow rows and is cheap to read."""
     return left.join(F.broadcast(right) if small(right, most) else right, on, how)
 
 
+def join_spread(left: DataFrame, right: DataFrame, on: str, by: str, counts: DataFrame, how: str = "inner", distinct: tuple[str, ...] = ()) -> DataFrame:
+    """left joined with right, where one key may have a large share of left's rows.
+
+    counts: rows (on, n), how many rows of left have a key; keys may be left
+    out that have few.  A key with more than 1/HOT_KEYS of their sum is dealt
+    over SALTS tasks by the hash of left's column ``by``, and right's rows for
+    it go to each of them.  There are fewer than HOT_KEYS such keys, so they are
+    broadcast.  distinct: columns of right that make its rows of a key distinct,
+    found where the join needs them anyway, without a shuffle of their own.
+    """
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if total <= FEW_ROWS:
+        return left.join(right.repartition(on).dropDuplicates([on, *distinct]) if distinct else right, on, how)
+    hot = F.broadcast(counts.filter(F.col("n") > total / HOT_KEYS).select(on, F.lit(True).alias("__hot")))
+    salt, every = F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"), F.sequence(F.lit(0), F.lit(SALTS - 1))
+    dealt = left.join(hot, on, "left").withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(0)).drop("__hot")
+    repeated = right.join(hot, on, "left").withColumn("__salt", F.explode(F.when(F.col("__hot"), every).otherwise(F.array(F.lit(0))))).drop("__hot")
+    if distinct:
+        repeated = repeated.repartition(on, "__salt").dropDuplicates([on, "__salt", *distinct])
+    return dealt.join(repeated, [on, "__salt"], how).drop("__salt")
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """name, or name with underscores before it, that no column of df has."""
     taken = {c.lower() for c in df.columns}
