@@ -52,6 +52,19 @@ class TestExact:
         assert all(r["__digest"] == "kept" for r in rows)
         assert exact_dedup.deduplicate(table([])).count() == exact_dedup.classify(table([])).count() == 0
 
+    def test_filter_passes_over_single_rows(self, table):
+        """Of 3,000 rows with 20 copies only the copies, and few others, are looked up."""
+        rows = table([(i, f"text {i}") for i in range(3000)] + [(5000 + i, f"text {i}") for i in range(20)])
+        norm = rows.select(F.col("doc_id").alias("id"), normal_space(F.col("text")).alias("norm"))
+        index = exact_dedup.DigestIndex()
+        run = index.flush(norm)
+        index.compact()
+        assert index.filter.agg(F.sum(F.bitmap_count("bits"))).first()[0] == 20
+        found = {r["id"]: (r["keep_id"], r["group_size"]) for r in index.lookup(run).collect()}
+        assert len(found) == 3020 and all(found[i] == ((i, 2) if i < 20 else (i, 1)) for i in range(3000)) and all(found[5000 + i] == (i, 2) for i in range(20))
+        plan = index.lookup(run)._jdf.queryExecution().optimizedPlan().toString()
+        assert "bits" in plan and plan.index("Union") < plan.index("shiftright")
+
     def test_index_grows(self, spark, table):
         index = exact_dedup.DigestIndex()
         rows = lambda some: table(some).select(F.col("doc_id").alias("id"), normal_space(F.col("text")).alias("norm"))

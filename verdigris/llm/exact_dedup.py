@@ -1,16 +1,19 @@
 """Op 1, exact dedup: a log-structured merge index of text digests.
 
 Memtables are the tasks of a scan: each normalises and digests its texts and
-flushes a run of (digest, identifier, length), sorted by digest, with the
-minimum, maximum and a Bloom filter of the digests in each file, to the shared
-folder.  Compaction merges all runs into one sorted run that keeps for each
-digest the smallest identifier and the number of rows.  Looking up every row's
-digest there tells its keeper; rows that hit a keeper other than themselves are
-verified byte for byte, and those whose bytes differ (a digest collision) are
-grouped anew by their whole text.  Everything is DataFrame functions.
-
-A hot group is split: compaction sums per (digest, identifier) first, which
-spreads a group over all tasks, and verification deals the copies of one keeper
+flushes a run of (digest, identifier), sorted by digest, with the minimum,
+maximum and a Bloom filter of the digests in each file, to the shared folder.
+Compaction merges all runs into one sorted run that keeps for each digest the
+smallest identifier and the number of rows, and makes a filter of the digests
+that several rows have: FILTER_BITS bits, whatever the input.  A row whose digest
+is not in the filter is its own keeper, and takes no further part; only the
+others are shuffled and looked up in the compacted run.  Rows that hit a keeper
+other than themselves are verified byte for byte, and those whose bytes differ
+(a digest collision) are grouped anew by their whole text.  Everything is
+DataFrame functions.
+
+A hot group is split: compaction sums each digest in every task before anything
+is shuffled, look-ups are joins that AQE splits, and verification deals the copies of one keeper
 over ``COPIES`` at a time, each share with its own copy of the keeper's text.
 
 Defined cases: null texts count as empty and equal each other; a null
@@ -22,6 +25,8 @@ an empty table gives an empty result; further columns are kept by
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +36,8 @@ from .common import free_name, join_checked, normal_space, table, written
 COPIES = 64
 #: Runs are compacted files with Bloom filters of their digests, at this false positive rate.
 FILTER = {"parquet.bloom.filter.enabled#digest": "true", "parquet.bloom.filter.fpp#digest": "0.01", "parquet.bloom.filter.max.bytes#digest": "1048576"}
+#: Bits of the filter of shared digests, in bitmaps of 2^15: it is 8 MB at most, whatever the input, so it is broadcast.
+FILTER_BITS = 26
 _NONE = (1 << 63) - 1  # stands for a null identifier in the index
 
 
@@ -38,11 +45,16 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
+def _place(digest: Column) -> Column:
+    """Where a digest's bit is in the filter."""
+    return F.xxhash64(digest).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+
+
 class DigestIndex:
     """Sorted runs of (id, digest) in the shared folder, and what compaction made of them."""
 
     def __init__(self, digest=sha256):
-        self.digest, self.runs, self.merged = digest, [], None
+        self.digest, self.runs, self.merged, self.filter = digest, [], None, None
 
     def flush(self, rows: DataFrame) -> DataFrame:
         """Adds rows (id, norm) as runs, one for each task of their scan, without a shuffle; returns them."""
@@ -53,17 +65,27 @@ class DigestIndex:
 
     def compact(self) -> DataFrame:
         """Merges all runs, and what was compacted before, into one: digest, keep_id (the smallest), group_size."""
-        # By identifier too at first: a group is then summed in all tasks, and only its sums meet in one.
-        parts = [run.groupBy("digest", "id").agg(F.count("*").alias("n")) for run in self.runs]
+        parts = [run.groupBy("digest").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size")) for run in self.runs]
         if self.merged is not None:
-            parts.append(self.merged.select("digest", F.col("keep_id").alias("id"), F.col("group_size").alias("n")))
-        every = parts[0]
-        for more in parts[1:]:
-            every = every.unionByName(more)
-        merged = every.groupBy("digest").agg(F.min("id").alias("keep_id"), F.sum("n").alias("group_size"))
+            parts.append(self.merged)
+        every = reduce(DataFrame.unionByName, parts)
+        merged = every if len(parts) == 1 else every.groupBy("digest").agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
         self.merged, self.runs = written(merged.sortWithinPartitions("digest"), "dedup-compacted", **FILTER), []
+        place = _place(F.col("digest"))
+        shared = self.merged.filter("group_size > 1").select(F.shiftright(place, 15).alias("bucket"), place.bitwiseAND(F.lit(0x7FFF)).alias("bit"))
+        self.filter = written(shared.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")), "dedup-filter")
         return self.merged
 
+    def lookup(self, run: DataFrame) -> DataFrame:
+        """id, digest, keep_id, group_size for rows (id, digest) that are in the compacted run."""
+        place = _place(F.col("digest"))
+        asked = run.withColumn("bucket", F.shiftright(place, 15)).join(F.broadcast(self.filter), "bucket", "left")
+        byte = F.conv(F.hex(F.substring(F.col("bits"), (F.shiftright(place, 3).bitwiseAND(F.lit(0xFFF)) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        bit = F.call_function("shiftright", byte, place.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1))
+        asked = asked.withColumn("shared", F.col("bits").isNotNull() & (bit == 1))
+        alone = asked.filter(~F.col("shared")).select("id", "digest", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
+        return alone.unionByName(asked.filter("shared").select("id", "digest").join(self.merged, "digest").select("id", "digest", "keep_id", "group_size"))
+
     def probe(self, texts: list[str]) -> DataFrame:
         """The compacted entries of a few texts; statistics and Bloom filters pass over the files without them."""
         spark = self.merged.sparkSession
@@ -87,7 +109,8 @@ def _grouped(df: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
     rows = df.select(F.col(id_col).cast("long").alias("id"), normal_space(F.col(text_col)).alias("norm"))
     index = DigestIndex(digest)
     run = index.flush(rows)
-    out = written(run.join(index.compact(), "digest", "left"), "dedup-looked-up")
+    index.compact()
+    out = written(index.lookup(run), "dedup-looked-up")
     hits = out.filter("group_size > 1")
     return out if hits.isEmpty() else _verified(rows, out, hits, digest)
 
