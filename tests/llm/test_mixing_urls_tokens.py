@@ -1,5 +1,7 @@
 """Mixing, URL filters, SentencePiece, the pipeline."""
 
+import itertools
+import math
 import os
 import random
 import re
@@ -121,6 +123,45 @@ class TestUrls:
         got = url_filter.judge(spark.createDataFrame([(1, url(keys) + "&e=1")], "page_id long, url string"), rules=(), labelled=spark.createDataFrame(labelled, "url string, label string"))
         assert [(r["verdict"], r["decided_by"], r["confidence"]) for r in got.collect()] == [("block", "mined", 1.0)]
 
+    def test_items_of_several_tokens_change_no_rule(self, spark):
+        """Against every combination of tokens, counted one by one."""
+        rng = random.Random(11)
+        sites = ["a.io", "b-c.org", "d.net"]
+        urls = [f"http://{rng.choice(sites)}/{rng.choice('xy')}?" + "&".join(k + "=1" for k in rng.sample("klm", rng.randint(0, 3))) for _ in range(120)]
+        labelled = [(u, "block" if ("k=1" in u and "b-c" in u) or rng.random() < 0.1 else "allow") for u in urls]
+        asked = [(i, u) for i, u in enumerate({*urls, "http://b.org/x", "http://c.org/?k=2", "https://a.io/y?m"})]
+        df = spark.createDataFrame(labelled, "url string, label string")
+        got = {r["url"]: (r["label"], r["confidence"]) for r in url_filter.match(spark.createDataFrame(asked, "page_id long, url string"), url_filter.mine(df)).collect()}
+        sets = {r[0]: frozenset(r[1]) for r in spark.createDataFrame([(u,) for u in {*urls, *(u for _, u in asked)}], "url string").select("url", url_filter.tokens(F.col("url"))).collect()}
+        joint: dict = {}
+        for u, label in labelled:
+            for k in range(1, len(sets[u]) + 1):
+                for some in itertools.combinations(sorted(sets[u]), k):
+                    joint.setdefault(some, {}).setdefault(label, 0)
+                    joint[some][label] += 1
+        n, rules = len(labelled), []
+        for some, by in joint.items():
+            rules += [(c / sum(by.values()), c / n, label, frozenset(some)) for label, c in by.items() if c >= math.ceil(url_filter.MIN_SUPPORT * n) and c / sum(by.values()) >= url_filter.MIN_CONFIDENCE]
+        for _, u in asked:
+            best = max((r[:3] for r in rules if r[3] <= sets[u]), default=None)
+            assert got.get(u) == (best and (best[2], best[0])), u
+
+    def test_thirty_shared_keys(self, spark):
+        """All URLs of a site carry the same thirty query keys: one item, not 2^30 itemsets."""
+        query = "&".join(f"key{k}=1" for k in range(30))
+        labelled = spark.createDataFrame([(f"http://shop.io/{'in' if i % 2 else 'out'}?{query}", "block" if i % 2 else "allow") for i in range(60)], "url string, label string")
+        rules = url_filter.mine(labelled)
+        assert rules.count() < 20
+        pages = spark.createDataFrame([(1, "http://shop.io/in?key7=2"), (2, "http://shop.io/out"), (3, "ftp://none")], "page_id long, url string")
+        got = url_filter.judge(pages, rules=(), labelled=labelled).collect()
+        assert sorted((r["page_id"], r["verdict"], r["decided_by"]) for r in got) == [(1, "block", "mined"), (2, "allow", "mined"), (3, "allow", "default")]
+
+    def test_long_urls_and_clashing_columns(self, spark):
+        pages = spark.createDataFrame([(1, "http://a.com/en/" + "x/" * 50_000 + "?" + "k=1&" * 20_000, "h", "r", "f"), (2, None, "h", "r", "f")], "page_id long, url string, host string, rule string, fixed string")
+        got = {r["page_id"]: r for r in url_filter.judge(pages).collect()}
+        assert (got[1]["host"], got[1]["rule"], got[1]["verdict"]) == ("a.com", "com/en/", "block") and len(got[1]["path"]) == 100_004
+        assert (got[2]["host"], got[2]["path"], got[2]["verdict"]) == ("", "", "allow")
+
     def test_empty(self, spark):
         pages = spark.createDataFrame([], "page_id long, url string")
         assert url_filter.judge(pages).count() == 0

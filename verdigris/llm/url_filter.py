@@ -8,6 +8,13 @@ its rarest token, so a URL meets only rules that share that token with it, and a
 rule matches if all its tokens are there.  Of several matches the one with the
 highest confidence, then support, decides; a URL without any is allowed.
 
+Tokens that always come together in labelled URLs are one item for FP-growth, as
+every combination that differs only in which of them it holds has the same
+support and confidence; a URL has the item if it has any of them, which matches
+just where some of those combinations would.  So thirty query keys that one
+site's URLs share cost one item, not 2^30 itemsets.  Tokens that come together
+mostly, but not always, still count as several.
+
 The labelled URLs of the query are those that a fixed rule judges.  Everything
 is DataFrame functions and Spark's FP-growth.  Frequent items are at most (mean
 tokens of a URL) / min_support, so what FP-growth keeps on the driver does not
@@ -34,6 +41,7 @@ RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/
 MIN_SUPPORT = 0.02
 MIN_CONFIDENCE = 0.9
 _LABEL = "label="
+RULE = "need array<array<string>>, label string, confidence double, support double, key array<string>"
 
 
 def host(url: Column) -> Column:
@@ -69,24 +77,41 @@ def tokens(url: Column) -> Column:
 
 
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """need (tokens), label, confidence, support, key (the rarest token of need) of rules mined from rows (url, label)."""
+    """need, label, confidence, support, key of the rules mined from rows (url, label).
+
+    need: items, each the list of its tokens, any of which will do; key: the
+    tokens of its rarest item.
+    """
     spark = labelled.sparkSession
-    rows = written(labelled.select(F.array_distinct(F.concat(tokens(F.col("url")), F.array(F.concat(F.lit(_LABEL), "label")))).alias("items")), "url-labelled")
-    if rows.isEmpty():
-        return spark.createDataFrame([], "need array<string>, label string, confidence double, support double, key string")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
+    rows = labelled.select(F.monotonically_increasing_id().alias("row"), "label", tokens(F.col("url")).alias("tokens"))
+    rows = written(rows, "url-labelled")
+    n = rows.count()
+    if not n:
+        return spark.createDataFrame([], RULE)
+    each = rows.select("row", "label", F.explode_outer("tokens").alias("token"))
+    # Tokens of one set of rows have one signature of it.
+    signed = each.groupBy("token").agg(F.count("*").alias("freq"), F.bit_xor(F.xxhash64("row")).alias("s1"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("s2"))
+    often = signed.filter((F.col("freq") >= F.lit(min_support * n)) & F.col("token").isNotNull())
+    items = often.groupBy("freq", "s1", "s2").agg(F.array_sort(F.collect_list("token")).alias("any"))
+    items = written(items.select(F.col("any")[0].alias("item"), "any", "freq"), "url-items")
+    of = items.select("item", F.explode("any").alias("token"))
+    # Frequent tokens are at most tokens of a URL / min_support.
+    held = each.join(F.broadcast(of), "token", "left").groupBy("row", "label").agg(F.collect_set("item").alias("items"))
+    baskets = written(held.select(F.array_append("items", F.concat(F.lit(_LABEL), "label")).alias("items")), "url-baskets")
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.filter((F.size("consequent") == 1) & F.col("consequent")[0].startswith(_LABEL) & ~F.exists("antecedent", lambda x: x.startswith(_LABEL)))
     rules = rules.select(F.array_sort("antecedent").alias("need"), F.substring(F.col("consequent")[0], len(_LABEL) + 1, 1 << 20).alias("label"), "confidence", "support")
-    often = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    rarest = rules.select("need", F.explode("need").alias("token")).join(often, "token").groupBy("need").agg(F.min(F.struct("freq", "token"))["token"].alias("key"))
-    return written(rules.join(rarest, "need"), "url-rules")
+    parts = rules.select("*", F.explode("need").alias("item")).join(F.broadcast(items), "item")
+    whole = parts.groupBy("need", "label", "confidence", "support").agg(F.collect_list("any").alias("all"), F.min(F.struct("freq", "any"))["any"].alias("key"))
+    return written(whole.select(F.col("all").alias("need"), "label", "confidence", "support", "key"), "url-rules")
 
 
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """url, label, confidence of the best rule for each distinct url that any rule matches."""
     held = urls.select("url").distinct().select("url", tokens(F.col("url")).alias("has"))
-    asked = held.select("url", "has", F.explode("has").alias("key"))
-    met = join_checked(asked, rules, "key", "inner").filter(F.size(F.array_except("need", "has")) == 0)
+    asked = held.select("url", "has", F.explode("has").alias("token"))
+    index = rules.select("*", F.explode("key").alias("token"))
+    met = join_checked(asked, index, "token", "inner").filter(F.forall("need", lambda some: F.arrays_overlap(some, "has")))
     best = met.groupBy("url").agg(F.max(F.struct("confidence", "support", "label")).alias("best"))
     return best.select("url", F.col("best.label").alias("label"), F.col("best.confidence").alias("confidence"))
 
@@ -116,7 +141,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP8_SQL = """
-WITH parsed AS (
+WITH RECURSIVE parsed AS (
   SELECT page_id, coalesce(url, '') AS url,
          translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
@@ -139,17 +164,19 @@ WITH parsed AS (
   UNION SELECT url, 'f:' FROM urls WHERE regexp_matches(url, '://[^#]*#')
 ), labelled AS (
   SELECT row_number() OVER () AS n, url, fixed_verdict AS label FROM judged WHERE fixed_verdict IS NOT NULL
+), least AS (
+  SELECT ceil(0.02::DOUBLE * count(*)) AS rows FROM labelled
 ), items AS (
   SELECT n, label, token FROM labelled JOIN tokens USING (url)
+  WHERE token IN (SELECT token FROM labelled JOIN tokens USING (url) GROUP BY token HAVING count(*) >= (SELECT rows FROM least))
 ), combos AS (
-  SELECT n, label, [token] AS need FROM items
-  UNION ALL SELECT a.n, a.label, [a.token, b.token] FROM items a JOIN items b ON a.n = b.n AND a.token < b.token
-  UNION ALL SELECT a.n, a.label, [a.token, b.token, c.token] FROM items a JOIN items b ON a.n = b.n AND a.token < b.token JOIN items c ON b.n = c.n AND b.token < c.token
+  SELECT n, label, [token] AS need, token AS last FROM items
+  UNION ALL SELECT c.n, c.label, list_append(c.need, i.token), i.token FROM combos c JOIN items i ON c.n = i.n AND i.token > c.last
 ), counted AS (
   SELECT need, label, count(*) AS joint, sum(count(*)) OVER (PARTITION BY need) AS alone FROM combos GROUP BY need, label
 ), mined AS (
   SELECT need, label, joint::DOUBLE / alone::DOUBLE AS confidence, joint::DOUBLE / (SELECT count(*) FROM labelled) AS support
-  FROM counted WHERE joint >= ceil(0.02::DOUBLE * (SELECT count(*) FROM labelled)) AND joint::DOUBLE / alone::DOUBLE >= 0.9
+  FROM counted WHERE joint >= (SELECT rows FROM least) AND joint::DOUBLE / alone::DOUBLE >= 0.9
 ), held AS (
   SELECT url, list(token) AS has FROM tokens WHERE url IN (SELECT url FROM judged WHERE rule IS NULL) GROUP BY url
 ), best AS (
