@@ -49,7 +49,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLOCK_CHARS, blocks, free_name, join_checked, mix64, partitions, table, text_batches, written
+from .common import BLOCK_CHARS, FEW_ROWS, blocks, free_name, join_checked, join_spread, mix64, partitions, table, text_batches, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -264,14 +264,15 @@ def _centred(members: DataFrame) -> DataFrame:
     """members (id, key, size) with the pivot of their key: the text whose keys are the most common."""
     common = members.groupBy("id").agg(F.sum("size").alias("common"))
     known = members.join(common, "id")
-    pivots = known.groupBy("key").agg(F.max(F.struct("common", (-F.col("id")).alias("minus")))["minus"].alias("minus"))
-    return members.join(pivots.select("key", (-F.col("minus")).alias("pivot")), "key")
+    pivots = known.groupBy("key").agg(F.max(F.struct("common", (-F.col("id")).alias("minus")))["minus"].alias("minus"), F.count("*").alias("n"))
+    pivots = written(pivots.select("key", (-F.col("minus")).alias("pivot"), "n"), "near-pivots")
+    return join_spread(members, pivots.drop("n"), "key", "id", pivots.select("key", "n"))
 
 
 def _bucketed(keyed: DataFrame) -> DataFrame:
     """Rows (id, key) of keys that several have, with their number: id, key, size."""
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    return keyed.join(sizes, "key")
+    sizes = written(keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "near-sizes")
+    return join_spread(keyed, sizes, "key", "id", sizes.withColumnRenamed("size", "n"))
 
 
 def _pairs_within(members: DataFrame, most: int) -> DataFrame:
@@ -294,13 +295,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, held, threshold: float) -> Data
     through which the comparison streams.
     """
     pairs = written(pairs.distinct(), "near-pairs")
-    shares = pairs.groupBy("a").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"))
-    placed = pairs.join(shares, "a").withColumn("share", F.pmod(F.xxhash64("b"), F.col("shares")).cast("int"))
+    hosted = written(pairs.groupBy("a").agg(F.count("*").alias("n")), "near-hosts")
+    many = hosted.filter(F.col("n") > SHARE).select("a", F.ceil(F.col("n") / SHARE).cast("int").alias("shares"))
+    placed = join_spread(pairs, many, "a", "b", hosted, "left")
+    placed = placed.select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("shares", F.lit(1))).cast("int").alias("share"))
     wanted = placed.select(F.col("b").alias("id"), F.col("a").alias("host"), "share", F.lit(1).alias("part"))
     hosts = placed.select(F.col("a").alias("id"), F.col("a").alias("host"), "share", F.lit(0).alias("part")).distinct()
-    wanted = wanted.unionByName(hosts)
-    texts = join_checked(docs, wanted.select("id").distinct(), "id", "left_semi").dropDuplicates(["id", "text"])
-    rows = texts.join(wanted, "id").select("host", "share", "part", "id", "text")
+    wanted = written(wanted.unionByName(hosts), "near-wanted")
+    counts = written(wanted.groupBy("id").agg(F.count("*").alias("n")), "near-counts")
+    texts = join_checked(docs, counts.select("id"), "id", "left_semi")
+    rows = join_spread(wanted, texts, "id", "host", counts, distinct=("text",)).select("host", "share", "part", "id", "text")
 
     def compare(batches):
         w, host, now = Weights(*held.value), [], None
@@ -391,13 +395,15 @@ def _across(large: DataFrame, crowded: DataFrame, classes: DataFrame, docs: Data
     """Links (a, b) between texts of a bucket that are in different classes, enough of them to join the classes that any such link joins."""
     sized = crowded.groupBy("id").agg(F.sum("shingles").alias("shingles"))
     known = large.select("key", "id").distinct().join(sized, "id").join(classes, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
+    known = written(known, "near-known")
     blocks_ = F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("shingles") / BLOCK_SHINGLES)).cast("int")
-    mixed = known.groupBy("key").agg(F.min("class_id").alias("least"), F.max("class_id").alias("most"), blocks_.alias("blocks")).filter("least < most").select("key", "blocks")
-    placed = known.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    mixed = known.groupBy("key").agg(F.min("class_id").alias("least"), F.max("class_id").alias("most"), blocks_.alias("blocks"), F.count("*").alias("n"))
+    mixed = written(mixed.filter("least < most").select("key", "blocks", "n"), "near-mixed")
+    placed = join_spread(known, mixed.drop("n"), "key", "id", mixed.select("key", "n")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     tiles = placed.select("key", "id", "class_id", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     tiles = tiles.select("key", "id", "class_id", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("part"))
     tiles = written(tiles, "near-tiles")
-    texts = join_checked(docs, tiles.select("id").distinct(), "id", "left_semi").dropDuplicates(["id", "text"])
+    texts = join_checked(docs, tiles.select("id").distinct(), "id", "left_semi").repartition("id").dropDuplicates(["id", "text"])
     rows = texts.join(tiles, "id").select("key", "i", "j", "part", "id", "class_id", "text")
 
     def compare(batches):
@@ -444,13 +450,17 @@ def components(links: DataFrame) -> DataFrame:
     larger neighbours, then smaller ones, on the smallest one known.
     """
     links = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), "stars")
-    state = None
+    state, spread = None, links.count() > FEW_ROWS // 2
+    # What is read several times is written down, unless it is little.
+    fixed = written if spread else lambda df, _: df
+    meet = join_spread if spread else lambda left, right, on, *_: left.join(right, on)
     while True:
         both = links.union(links.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
+        least = fixed(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n")), "stars-least")
+        large = meet(both.filter("v > u"), least.drop("n"), "u", "v", least.select("u", "n"))
+        large = fixed(large.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct(), "stars-large")
+        low = fixed(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "stars-low")
+        small = meet(large, low.drop("n"), "u", "v", low.select("u", "n")).select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         links = written(small.filter("u != v").distinct(), "stars")
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
@@ -472,7 +482,7 @@ def _classified(df: DataFrame, id_col: str, text_col: str, threshold: float) ->
     held = spark.sparkContext.broadcast(frequencies(docs))
     signed = written(_signed(docs, held), "near-signed")
     # Texts, each by the smallest id that has it.
-    unique = signed.groupBy("digest").agg(F.min("id").alias("text_id"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles"))
+    unique = signed.groupBy("digest").agg(F.min("id").alias("text_id"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles"), F.count("*").alias("n"))
     unique = written(unique, "near-texts")
     keyed = unique.select(F.col("text_id").alias("id"), F.explode("bands").alias("key"))
     members = written(_bucketed(keyed), "near-members")
@@ -490,7 +500,7 @@ def _classified(df: DataFrame, id_col: str, text_col: str, threshold: float) ->
     if not across.isEmpty():
         classes = components(classes.select(F.col("id").alias("a"), F.col("class_id").alias("b")).union(across))
     texts = unique.select("digest", "text_id").join(classes.withColumnRenamed("id", "text_id"), "text_id", "left").select("digest", F.coalesce("class_id", "text_id").alias("class_id"))
-    return signed.select("id", "digest").join(texts, "digest").select("id", "class_id")
+    return join_spread(signed.select("id", "digest"), texts, "digest", "id", unique.select("digest", "n")).select("id", "class_id")
 
 
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
