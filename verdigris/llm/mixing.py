@@ -100,9 +100,12 @@ def schedule(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     scale = F.conv(F.substring("turn", 1, 8), 16, 10).cast("long")
     docs = docs.withColumn("bucket", F.floor(scale * buckets / F.lit(1 << 32)).cast("long"))
     sums = docs.groupBy("source", "bucket").agg(F.sum("size").alias("sum"))
-    earlier = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    sums = sums.select("source", "bucket", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("before"))
-    sums = sums.join(aims, sums["source"].eqNullSafe(aims["source"])).select(sums["source"].alias("s"), F.col("bucket").alias("b"), "before", "source_size", "target")
+    # What comes before a bucket in its source is what comes before it in all, less what comes before the source.
+    sums = written(running(sums, [F.col("source").asc_nulls_last(), F.col("bucket")], {"through": F.col("sum").cast("long")}), "mix-buckets")
+    bases = sums.groupBy(F.col("source").alias("base_of")).agg(F.min(F.col("through") - F.col("sum")).alias("base"))
+    known = aims.join(bases, aims["source"].eqNullSafe(F.col("base_of"))).select("base_of", "base", "source_size", "target")
+    sums = sums.join(known, sums["source"].eqNullSafe(F.col("base_of")))
+    sums = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), (F.col("through") - F.col("sum") - F.col("base")).alias("before"), "source_size", "target")
     queue = W.partitionBy("source", "bucket").orderBy("turn", "size").rowsBetween(W.unboundedPreceding, 0)
     docs = docs.withColumn("upto", F.sum("size").over(queue))
     docs = docs.join(sums, docs["source"].eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).withColumn("upto", F.col("upto") + F.col("before")).drop("s", "b", "bucket", "before")
