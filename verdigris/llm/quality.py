@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, calibrated, isotonic, mix64, table, text_batches, texts, written
+from .common import blocks, calibrated, isotonic, lowest, mix64, table, text_batches, texts, written
 
 FEATURES = 256
 #: Width of the Gaussian kernel, in standardised units.
@@ -167,7 +167,7 @@ def _matrix(column) -> np.ndarray:
 
 def fit(labelled: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """The model of rows (id, stats, y)."""
-    rows = labelled.orderBy(F.xxhash64("id"), "id").limit(max_rows).withColumn("fold", (F.pmod(F.xxhash64("id"), F.lit(FOLDS))).cast("int"))
+    rows = lowest(written(labelled, "quality-labelled"), F.xxhash64("id"), "id", max_rows).withColumn("fold", (F.pmod(F.xxhash64("id"), F.lit(FOLDS))).cast("int"))
     rows = written(rows.repartition(FIT_PARTS), "quality-fit")
     each = [F.element_at("stats", k + 1) for k in range(len(STATS))]
     sums = rows.agg(F.count("*").alias("n"), *[F.avg(c).alias(f"a{k}") for k, c in enumerate(each)], *[F.stddev_pop(c).alias(f"s{k}") for k, c in enumerate(each)]).first()
