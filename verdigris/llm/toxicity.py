@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, calibrated, free_name, isotonic, table, text_batches, texts
+from .common import blocks, calibrated, free_name, isotonic, lowest, table, text_batches, texts, written
 
 BITS = 18
 DIM = 8
@@ -268,8 +268,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, use: Column, max_rows
     """
     marks = labels.filter(F.col(label).isin(0, 1)).select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y")).groupBy("id").agg(F.max("y").alias("y"))
     sized = docs.select(F.col(id_col).alias("id"), F.length(text_col).alias("n")).filter(use(F.col("id")) & F.col("n").isNotNull())
-    order = F.xxhash64("id")
-    found = sized.join(marks, "id").groupBy("id", "y").agg(F.max("n").alias("n")).filter(F.col("n") <= max_chars).orderBy(order, "id").limit(max_rows).collect()
+    sized = written(sized.join(marks, "id").groupBy("id", "y").agg(F.max("n").alias("n")).filter(F.col("n") <= max_chars), "toxicity-labelled")
+    found = lowest(sized, F.xxhash64("id"), "id", max_rows).collect()
     chosen, n = {}, 0
     for r in found:
         if n + r["n"] > max_chars:
@@ -289,7 +289,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def with_score(df: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
-    """df with the toxicity of its texts, from 0 to 1."""
+    """df with the toxicity of its texts, from 0 to 1; a column of that name is replaced."""
+    df = df.drop(*[c for c in df.columns if c.lower() == name.lower()])
     held = df.sparkSession.sparkContext.broadcast((model.weights, model.knots))
 
     def score(batches):
