@@ -4,6 +4,12 @@ Each stage takes (spark, docs, sf_dir), works on all rows that the stage before
 kept, and returns a DataFrame; ``run`` writes each stage's rows as Parquet in
 the shared folder and reads them as the next one's documents.  All stages but
 the last return the columns of documents.
+
+Defined cases: null and empty texts are clean, copies of each other, of no size
+in the mix, and so in no result; without labels nothing is toxic; rows that
+repeat both identifier and text are one document from the second stage on; a
+document that the mix takes twice comes twice; an empty table gives an empty
+result; further columns are kept up to the mix.
 """
 
 from __future__ import annotations
@@ -11,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from verdigris.llm import exact_dedup, mixing, near_dedup, sentencepiece_codec, toxicity
-from verdigris.llm.common import table, written
+from verdigris.llm.common import forget, table, tables, written
 
 #: DuckDB cannot train the classifier, so the pipeline is tested against brute force instead.
 ORACLE_SQL = None
@@ -53,7 +59,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows.  What a stage wrote on the way goes when its result is written, and that when the next one's is."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), "pipeline")
-    return written(STAGES[-1][1](spark, docs, sf_dir), "pipeline")
+    for _, stage in STAGES:
+        earlier = tables(spark)
+        result = stage(spark, docs, sf_dir)
+        docs = written(result, "pipeline")
+        forget(spark, [t for t in tables(spark)[:-1] if t not in earlier or "/pipeline-" in t])
+    return docs
