@@ -6,6 +6,7 @@ import random
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from verdigris.functions import ids, keys, quota, settings, templating, verdict
 
@@ -208,3 +209,49 @@ class TestSettings:
         os.utime(old, (0, 0))
         path = settings.configure_logging(tmp_path)
         assert path.exists() and not old.exists()
+
+
+def test_key_text_is_that_of_python(spark):
+    import struct
+
+    rng = random.Random(3)
+    numbers = [struct.unpack("d", rng.randbytes(8))[0] for _ in range(2000)] + [rng.choice([-1, 1]) * rng.random() * 10 ** rng.randint(-8, 20) for _ in range(2000)]
+    numbers += [0.0, -0.0, 1e-4, 9.999e-5, 1.2345678901234567e-4, 1e16, 9999999999999998.0, 1e7, 2e-3, 5e-324, 1e23, float("inf"), -float("inf"), float("nan"), None]
+    df = spark.createDataFrame([(x,) for x in numbers], "d double")
+    got = [r[0] for r in df.select(keys.key_column(df, ["d"])).collect()]
+    assert got == [f"d={'NULL' if x is None else x}" for x in numbers]
+    times = [dt.datetime(2026, 8, 1, 1, 2, 3, us) for us in (0, 500_000, 1, 120)] + [None]
+    df = spark.createDataFrame([(x, x) for x in times], "t timestamp, n timestamp_ntz")
+    assert [tuple(r) for r in df.select(keys.key_column(df, ["t"]), keys.key_column(df, ["n"])).collect()] == [(f"t={x or 'NULL'}", f"n={x or 'NULL'}") for x in times]
+
+
+def test_retried():
+    from verdigris.functions.retry import retried
+
+    waits, calls = [], []
+
+    def flaky(fail_times, error=OSError):
+        def call():
+            calls.append(1)
+            if len(calls) <= fail_times:
+                raise error("in passing")
+            return len(calls)
+
+        calls.clear()
+        waits.clear()
+        return call
+
+    assert retried(flaky(2), 3, (2, 15), waits.append) == 3 and waits == [2, 4]
+    with pytest.raises(OSError, match="passing"):
+        retried(flaky(9), 6, (2, 15), waits.append)
+    assert waits == [2, 4, 8, 15, 15]
+    with pytest.raises(ValueError, match="passing"):
+        retried(flaky(1, ValueError), 3, (2, 15), waits.append)
+    assert waits == [] and len(calls) == 1
+
+
+def test_pct_column_is_the_function(spark):
+    shares = [(f, t) for t in (0, 1, 3, 7, 128, 512, 1024, 4096, 100_000) for f in range(0, t + 1, max(1, t // 50))]
+    df = spark.createDataFrame(shares, "f long, t long")
+    got = df.select("f", "t", verdict.pct_column(F.col("t"), F.col("f")).alias("p")).collect()
+    assert [(r.f, r.t) for r in got if r.p != verdict.failure_pct(r.t, r.f)] == []

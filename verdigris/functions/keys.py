@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,19 +40,28 @@ def decode(key: str | None) -> dict[str, str | None]:
     return out
 
 
+def _shortest(column: Column) -> Column:
+    # Within a function, so that it travels by value: executors need not have this package.
+    @F.pandas_udf("string")
+    def written(numbers: pd.Series) -> pd.Series:
+        return pd.Series(list(map(repr, numbers.tolist())), dtype=object)
+
+    return written(column)
+
+
 def text(column: Column, kind: T.DataType) -> Column:
-    """column as the text that Python's str gives: True, 10000000.0, 1e+16."""
+    """column as the text that Python's str gives: True, 10000000.0, 1e+16, nan, 00:00:00.500000.
+
+    The JVM writes some doubles with more digits than they need, so fractional
+    keys, which are rare, go through Python in batches; all else is built in.
+    """
     if isinstance(kind, T.BooleanType):
         return F.initcap(column.cast("string"))
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         s = column.cast("string")
-        plain = F.regexp_replace(s.cast("decimal(38,18)").cast("string"), "0+$", "")
-        plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-        power = F.regexp_extract(s, "E(-?)([0-9]+)$", 2)
-        sign = F.when(F.regexp_extract(s, "E(-?)([0-9]+)$", 1) == "-", "-").otherwise("+")
-        scientific = F.concat(F.regexp_replace(F.substring_index(s, "E", 1), r"\.0$", ""), F.lit("e"), sign, F.when(F.length(power) < 2, F.lpad(power, 2, "0")).otherwise(power))
-        size = F.abs(column)
-        return F.when(~s.contains("E"), s).when((size >= 1e-4) & (size < 1e16), plain).otherwise(scientific)
+        return F.when(s.contains("."), F.concat(F.substring_index(s, ".", 1), F.lit("."), F.rpad(F.substring_index(s, ".", -1), 6, "0"))).otherwise(s)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(column.isNotNull(), _shortest(column.cast("double")))
     return column.cast("string")
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 import random
+from array import array
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -34,12 +35,18 @@ def round_target(value: float, mode: str | None) -> int:
 
 
 def bucket_target(bucket: str, mix: Mapping[str, float], total: int, mode: str | None, unmixed: int = 1) -> int:
-    """The whole total without a mix; else the bucket's fraction, or its share of what the mix leaves."""
+    """The whole total without a mix; else the bucket's fraction of it.
+
+    A bucket that the mix does not name has an equal fraction of what the mix
+    leaves: the fraction is divided out before the total is multiplied, which
+    in floating point is not the same as dividing the product.
+    """
     if not mix:
         return total
-    if bucket in mix:
-        return round_target(total * mix[bucket], mode)
-    return round_target(total * max(0.0, 1.0 - sum(mix.values())) / max(unmixed, 1), mode)
+    fraction = mix.get(bucket)
+    if fraction is None:
+        fraction = max(0.0, 1.0 - sum(mix.values())) / max(unmixed, 1)
+    return round_target(total * fraction, mode)
 
 
 def leaves(counts: Mapping[tuple[str, ...], int], mixes: Sequence[Mapping[str, float]], target: int, mode: str | None) -> list[Leaf]:
@@ -75,9 +82,13 @@ def systematic(size: int, n: int, rng: random.Random) -> tuple[int, int] | None:
 
 
 def shuffled(size: int, n: int, rng: random.Random) -> list[int]:
-    """The first n places of a shuffle of all; the same places as shuffling the rows themselves."""
+    """The first n places of a shuffle of all; the same places as shuffling the rows themselves.
+
+    A seed defines its draw by a whole permutation, so eight bytes a candidate
+    of the leaf are held on the driver; draws by hash hold nothing.
+    """
     if n <= 0 or size <= 0:
         return []
-    places = list(range(size))
+    places = array("q", range(size))
     rng.shuffle(places)
-    return places[:n]
+    return places[:n].tolist()

@@ -41,9 +41,15 @@ def evaluate(total: int, failed: int, pct: float | None = None, count: int | Non
 
 
 def failure_pct(total: int, failed: int) -> float:
+    """Failed rows in a hundred, to six digits; 0 of an empty table."""
     return round(failed / total * 100, 6) if total else 0.0
 
 
+def pct_column(total: Column, failed: Column) -> Column:
+    """``failure_pct`` for columns.  bround takes the digits of the double's text, so the only ties are those that decimal text shows; both go to the even digit."""
+    return F.when(total > 0, F.bround(failed / total * 100, 6)).otherwise(F.lit(0.0))
+
+
 def status_column(total: Column, failed: Column, pct: Column, count: Column, operator: Column, severity: Column) -> Column:
     """The status of ``evaluate`` for columns; null thresholds are none."""
     bad = F.when(F.upper(severity).isin(*SOFT), "WARN").otherwise("FAIL")

@@ -36,5 +36,5 @@ def judged(spark: SparkSession, rules: Sequence[Mapping], params: Mapping | None
     out = catalogue.join(reduce(DataFrame.unionByName, failed), "rule_id").join(reduce(DataFrame.unionByName, totals), "src_tbl_nm")
     total, n = F.col("total_records"), F.col("failed_records")
     status = verdict.status_column(total, n, F.col("threshold_pct"), F.col("threshold_count"), F.col("threshold_operator"), F.col("severity"))
-    pct = F.when(total > 0, F.round(n / total * 100, 6)).otherwise(F.lit(0.0))
+    pct = verdict.pct_column(total, n)
     return out.select("rule_id", "rule_nm", "failed_records", "total_records", pct.alias("failure_pct"), status.alias("status"))

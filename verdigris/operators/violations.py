@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys, templating
+from ..functions.retry import retried
 
 
 def rule_rows(spark: SparkSession, sql: str) -> DataFrame:
@@ -37,7 +38,8 @@ def scope_condition(params: Mapping[str, object]) -> str:
 class Totals:
     """Denominators, each counted once for a table and scope; a failure is remembered too."""
 
-    def __init__(self):
+    def __init__(self, attempts: int = 3, wait: tuple[float, float] = (2.0, 15.0)):
+        self._attempts, self._wait = attempts, wait
         self._known: dict[tuple[str, str, str], int | Exception] = {}
         self._locks: dict[tuple[str, str, str], threading.Lock] = {}
         self._lock = threading.Lock()
@@ -49,7 +51,7 @@ class Totals:
         with mine:
             if key not in self._known:
                 try:
-                    self._known[key] = source.load(database, table).filter(key[2]).count()
+                    self._known[key] = retried(lambda: source.load(database, table).filter(key[2]).count(), self._attempts, self._wait)
                 except Exception as e:
                     self._known[key] = e
         if isinstance(found := self._known[key], Exception):

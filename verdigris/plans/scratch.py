@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which driver and executors share; only a session without one gets a local folder."""
+    """spark.checkpoint.dir, which driver and executors share; only a local session without one gets a local folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='verdigris-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
