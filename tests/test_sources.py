@@ -1,3 +1,7 @@
+import datetime as dt
+import zipfile
+from xml.sax.saxutils import escape
+
 import pytest
 
 from verdigris.functions.settings import Settings
@@ -40,12 +44,76 @@ def test_parquet_with_folders(spark, tmp_path):
 def test_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="supported"):
         files.read(spark, "x.json")
-    (tmp_path / "big.csv").write_text("a\n" + "1234567890\n" * 200_000)
+    sheet(tmp_path / "big.xlsx", [["a"], *([k * 12345.678] for k in range(120_000))])
     with pytest.raises(ValueError, match="more than 1"):
-        files.read(spark, f"{tmp_path}/big.csv", max_mb=1)
-    (tmp_path / "x.xlsx").write_bytes(b"")
-    with pytest.raises(ValueError, match="openpyxl"):
+        files.read(spark, f"{tmp_path}/big.xlsx", max_mb=1)
+    (tmp_path / "x.xlsx").write_bytes(b"none")
+    with pytest.raises(ValueError, match="no Excel"):
         files.read(spark, f"{tmp_path}/x.xlsx")
+    with pytest.raises(ValueError, match="xlsx"):
+        files.read(spark, f"{tmp_path}/x.xls")
+
+
+def sheet(path, rows):
+    """A small workbook as spreadsheet programs write it: shared strings, numbers, a date style."""
+    strings = sorted({c for r in rows for c in r if isinstance(c, str)})
+
+    def cell(c, ref):
+        if c is None:
+            return ""
+        if isinstance(c, str):
+            return f'<c r="{ref}" t="s"><v>{strings.index(c)}</v></c>'
+        if isinstance(c, bool):
+            return f'<c r="{ref}" t="b"><v>{int(c)}</v></c>'
+        if isinstance(c, dt.datetime):
+            return f'<c r="{ref}" s="1"><v>{(c - dt.datetime(1899, 12, 30)) / dt.timedelta(days=1)}</v></c>'
+        return f'<c r="{ref}"><v>{c!r}</v></c>'
+
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {main} xmlns:r="{rel}"><sheets><sheet name="S" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f"<sst {main}>" + "".join(f"<si><t>{escape(x)}</t></si>" for x in strings) + "</sst>")
+        z.writestr("xl/styles.xml", f'<styleSheet {main}><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
+        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {main}><sheetData>" + "".join(f'<row r="{n}">' + "".join(cell(c, f"{chr(65 + k)}{n}") for k, c in enumerate(r)) + "</row>" for n, r in enumerate(rows, 1)) + "</sheetData></worksheet>")
+
+
+def test_excel(spark, tmp_path):
+    when = dt.datetime(2026, 8, 1)
+    sheet(tmp_path / "claims.xlsx", [["ID", "Name", "Paid", "Day", "Open", "Mixed", "None"], [1, "a & b", 2.5, when, True, 1, None], [2, None, 3, None, False, "x", None], [3, "ä\n<c>", None, when, None, None, None]])
+    got = SourceResolver(spark, Settings(file_base_path=str(tmp_path))).get("file").load(None, "claims.xlsx")
+    assert got.dtypes == [("id", "bigint"), ("name", "string"), ("paid", "double"), ("day", "timestamp_ntz"), ("open", "boolean"), ("mixed", "string"), ("none", "string")]
+    assert [tuple(r) for r in got.orderBy("id").collect()] == [(1, "a & b", 2.5, when, True, "1", None), (2, None, 3.0, None, False, "x", None), (3, "ä\n<c>", None, when, None, None, None)]
+
+
+def test_line_breaks_in_values(spark, tmp_path):
+    (tmp_path / "n.csv").write_text('a,b\n1,"x\ny ""z"""\n2,w\n')
+    assert [tuple(r) for r in files.read(spark, f"{tmp_path}/n.csv").orderBy("a").collect()] == [(1, 'x\ny "z"'), (2, "w")]
+    assert files.read(spark, f"{tmp_path}/n.csv", multiline=False).count() == 3
+
+
+def test_one_type_over_files(spark, tmp_path):
+    (tmp_path / "p1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "p2.csv").write_text("b,a,c\nx,2.5,3\n")
+    got = files.read(spark, f"{tmp_path}/p*.csv")
+    assert dict(got.dtypes) == {"a": "double", "b": "string", "c": "int"}
+    assert {tuple(r[c] for c in "abc") for r in got.collect()} == {(1.0, "2", None), (2.5, "x", 3)}
+
+
+def test_databases_are_split_and_built_anew(spark):
+    url, driver = "jdbc:derby:memory:split;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    spark.range(1000).selectExpr("id AS K", "id * 2 AS V").coalesce(1).write.jdbc(url, "t", properties={"driver": driver})
+    env = {"DQ_POSTGRES_URL": url, "DQ_POSTGRES_DRIVER": driver, "DQ_POSTGRES_SPLIT_COLUMN": "k", "DQ_POSTGRES_SPLITS": "4"}
+    resolver = SourceResolver(spark, env=env)
+    got = resolver.get("postgres").load(None, "t")
+    assert got.rdd.getNumPartitions() == 4 and got.agg({"V": "sum"}).first()[0] == 999_000
+    assert "PushedFilters: [*IsNotNull(K), *GreaterThan(K,990)]" in got.filter("K > 990")._jdf.queryExecution().toString()
+    pings = iter([False, True])
+    resolver.get("postgres").ping = lambda: next(pings)
+    old = resolver.get("postgres")
+    resolver._builders["postgres"] = lambda name, env: old
+    assert resolver.live("postgres") is old and resolver.live("none") is None
 
 
 def test_file_views(spark, tmp_path):
@@ -66,7 +134,7 @@ def test_file_views(spark, tmp_path):
 
 def test_registry(spark):
     r = SourceResolver(spark, env={"DQ_POSTGRES_URL": "jdbc:postgresql://h/db", "DQ_POSTGRES_USER": "u"})
-    assert r.get("POSTGRES").options == {"user": "u"} and r.get("teradata") is None
+    assert r.get("POSTGRES").options == {"sslmode": "prefer", "user": "u"} and r.get("teradata") is None
     assert isinstance(r.get(None), CatalogSource) and r.get("spark").ping()
     assert r.get("spark").identifier("db", "t") == "db.t"
     with pytest.raises(ValueError, match="prefix"):
