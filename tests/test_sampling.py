@@ -1,9 +1,13 @@
-"""Samples: the golden one, parity of draws with shuffling rows, and runs on a store."""
+"""Samples against a brute-force quota and draw, and runs on a store."""
 
+import itertools
+import math
 import random
 import uuid
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from verdigris.functions import quota
 from verdigris.operators import ordering, sampling
@@ -11,73 +15,102 @@ from verdigris.plans import metastore as ms
 from verdigris.plans.sampling import SamplingRunner, discover_configs, load_config
 from verdigris.sources.resolver import SourceResolver
 
-CATEGORIES = ["Denied"] * 80 + ["Withdrawn"] * 10 + ["Dismissed"] * 2 + ["Approved"] * 8
-AREAS = ["Area A"] * 13 + ["Area B"] * 8 + ["Area C"] * 79
-MIXES = {1: {"Denied": 0.80, "Withdrawn": 0.10, "Dismissed": 0.02, "Approved": 0.08}, 2: {"Area A": 0.13, "Area B": 0.08}}
-LEVELS = [sampling.Level(1, 1, "category", "category", MIXES[1]), sampling.Level(2, 2, "area", "area", MIXES[2])]
-#: Candidates and selected by stratum (fixed values).
-GOLDEN = {
-    "Approved/Area A": (6, 1), "Approved/Area B": (7, 0), "Approved/Area C": (59, 9), "Denied/Area A": (96, 15), "Denied/Area B": (71, 9), "Denied/Area C": (610, 94),
-    "Dismissed/Area A": (3, 0), "Dismissed/Area B": (4, 0), "Dismissed/Area C": (14, 2), "Withdrawn/Area A": (7, 1), "Withdrawn/Area B": (9, 1), "Withdrawn/Area C": (94, 11),
-}
+DEPOT_MIX = {"north": 0.45, "east": 0.25, "quay": 0.05}  # west and hub share the rest
+SIZE_MIX = {"letter": 0.5, "crate": 0.2}
+LEVELS = [sampling.Level(4, 1, "depot", "depot", DEPOT_MIX), sampling.Level(7, 2, "size_class", "size", SIZE_MIX)]
+TOTAL, LOST = 840, 29  # every 29th parcel is lost
 
 
-def cases(n=1000):
-    random.seed(42)
-    return [(f"C{i}", random.choice(CATEGORIES), random.choice(AREAS), random.choice([0, 1]), "2026-08-01", int(i % 50 == 0)) for i in range(n)]
+def parcels():
+    """(parcel_id, depot, size_class, weight, lost): uneven strata by plain arithmetic, many equal weights."""
+    depots = ("north", "north", "west", "east", "hub", "north", "west", "quay")
+    sizes = ("letter", "crate", "tube", "letter", "box")
+    return [(k, depots[(k * k + k // 3) % 8], sizes[(k * 7 + k // 11) % 5], (k * 13) % 17, k % LOST == 0) for k in range(TOTAL)]
+
+
+KEPT = sorted((r for r in parcels() if not r[4]), key=lambda r: (-r[3], r[0]))
 
 
 @pytest.fixture(scope="module")
 def universe(spark):
-    df = spark.createDataFrame(cases(), "case_id string, category string, area string, revision int, pull_date string, auto_closed int")
-    df = df.withColumn("pull_date", df.pull_date.cast("date"))
-    df.createOrReplaceTempView("case_universe")
+    df = spark.createDataFrame(parcels(), "parcel_id long, depot string, size_class string, weight int, lost boolean")
+    df = df.withColumn("week", F.lit("w31"))
+    df.createOrReplaceTempView("parcel_universe")
     return df
 
 
 def pool(universe, method="RANKED", levels=LEVELS, **more):
-    return sampling.candidates(universe, ["case_id"], levels, "pull_date = '{batch_id}'", "auto_closed = 1", "revision DESC", method, params={"batch_id": "2026-08-01"}, **more)
-
-
-def test_golden(universe):
-    got = sampling.select(pool(universe), LEVELS, 150, "RANKED")
-    assert {k: (v["candidates"], v["selected"]) for k, v in got.by_stratum.items()} == GOLDEN
-    assert (got.candidates, got.selected, got.rows.distinct().count()) == (980, 150, 150)
-
-
-def plain(rows, n, method, rng):
-    if n <= 0 or not rows:
-        return []
-    if method == "RANKED":
-        return rows[:n]
-    if method == "RANDOM":
+    return sampling.candidates(universe, ["parcel_id"], levels, "week = '{week}'", "lost", "weight DESC", method, params={"week": "w31"}, **more)
+
+
+def quotas_by_hand(sizes, levels, target):
+    """Leaf to target, floors all the way down: a table of shares for each level, multiplied out path by path."""
+    out = {}
+    for path in sorted(sizes):
+        share = target
+        for depth, level in enumerate(levels):
+            beside = {p[depth] for p in sizes if p[:depth] == path[:depth]}
+            named = level.mix.get(path[depth])
+            left = (1.0 - math.fsum(level.mix.values())) / len(beside - set(level.mix)) if named is None else None
+            share = share if not level.mix else math.floor(share * (left if named is None else named) + 1e-9)
+        out[path] = share
+    return out
+
+
+def test_quotas(universe):
+    sizes = Counter(r[1:3] for r in KEPT)
+    want = quotas_by_hand(sizes, LEVELS, 200)
+    got = sampling.select(pool(universe), LEVELS, 200, "RANKED")
+    assert got.by_stratum == {"/".join(p): {"candidates": sizes[p], "selected": min(n, sizes[p])} for p, n in want.items()}
+    assert (got.candidates, got.selected, got.rows.distinct().count()) == (len(KEPT), 200, 200)
+
+
+def test_bucket_targets_over_a_grid():
+    """The rest is divided among the unmixed buckets before it is multiplied by the total, whatever that does to floats."""
+    ways = {"FLOOR": math.floor, "CEIL": math.ceil, "ROUND": round, None: math.floor, "other": math.floor}
+    seen = 0
+    for total, first, second, unmixed in itertools.product(range(0, 400, 7), range(0, 101, 5), (0, 10, 35, 80), (1, 2, 3, 7)):
+        mix = {"a": first / 100} | ({"b": second / 100} if second else {})
+        for mode, way in ways.items():
+            each = max(0.0, 1.0 - sum(mix.values())) / unmixed
+            assert quota.bucket_target("z", mix, total, mode, unmixed) == max(0, way(total * each))
+            assert quota.bucket_target("a", mix, total, mode, unmixed) == max(0, way(total * (first / 100)))
+            seen += 1
+    assert seen > 43_092
+    assert quota.bucket_target("z", {"a": 0.4}, 10, "FLOOR", 3) == 1  # 10 * 0.6 / 3 would be 2
+    assert quota.bucket_target("z", {}, 10, "FLOOR", 3) == 10
+
+
+def drawn_by_hand(method, rows, n, rng):
+    """The rows themselves, drawn as each method says."""
+    n = max(0, min(n, len(rows)))
+    if method == "RANDOM" and n:
         rows = list(rows)
         rng.shuffle(rows)
-        return rows[:n]
-    if n >= len(rows):
-        return rows
-    step = max(1, len(rows) // n)
-    return rows[rng.randint(1, step) - 1 :: step][:n]
+    if method == "SYSTEMATIC" and 0 < n < len(rows):
+        every = len(rows) // n
+        first = rng.randint(1, every)
+        rows = [r for at, r in enumerate(rows, 1) if at >= first and (at - first) % every == 0]
+    return rows[:n]
 
 
 @pytest.mark.parametrize("method", sampling.METHODS)
-@pytest.mark.parametrize(("target", "levels"), [(150, LEVELS), (40, LEVELS[:1]), (990, LEVELS), (25, [])])
+@pytest.mark.parametrize(("target", "levels"), [(200, LEVELS), (45, LEVELS[:1]), (805, LEVELS), (31, [])])
 def test_same_rows_as_drawing_them_one_by_one(universe, method, target, levels):
-    rows = sorted((r for r in cases() if not r[5]), key=lambda r: (-r[3], r[0]))
     leaves: dict = {}
-    for r in rows:
+    for r in KEPT:
         leaves.setdefault(r[1 : 1 + len(levels)], []).append(r)
-    rng, want = random.Random(7), []
-    for leaf in quota.leaves({k: len(v) for k, v in leaves.items()}, [lv.mix for lv in levels], target, "FLOOR"):
-        want += plain(leaves[leaf.path], leaf.target, method, rng)
-    chosen = {r[0] for r in want}
-    want += plain([r for r in rows if r[0] not in chosen], target - len(want), method, rng)
-    got = sampling.select(pool(universe, method, levels), levels, target, method, rng=random.Random(7))
-    assert {r["case_key"] for r in got.rows.collect()} == {f"case_id={r[0]}" for r in want[:target]}
+    rng, want = random.Random(19), []
+    for path, n in quotas_by_hand(Counter({p: len(rows) for p, rows in leaves.items()}), levels, target).items():
+        want += drawn_by_hand(method, leaves[path], n, rng)
+    taken = set(want)
+    want += drawn_by_hand(method, [r for r in KEPT if r not in taken], target - len(want), rng)
+    got = sampling.select(pool(universe, method, levels), levels, target, method, rng=random.Random(19))
+    assert {r["case_key"] for r in got.rows.collect()} == {f"parcel_id={r[0]}" for r in want[:target]}
 
 
 def test_hash_mode_is_stable(universe):
-    draw = lambda seed: {r[0] for r in sampling.select(pool(universe, "RANDOM", seed=seed, random_mode="hash"), LEVELS, 150, "RANDOM", random_mode="hash").rows.select("case_key").collect()}
+    draw = lambda seed: {r[0] for r in sampling.select(pool(universe, "RANDOM", seed=seed, random_mode="hash"), LEVELS, 200, "RANDOM", random_mode="hash").rows.select("case_key").collect()}
     assert draw(1) == draw(1) != draw(2)
 
 
@@ -93,9 +126,9 @@ def test_refusals(universe):
     with pytest.raises(ValueError, match="method"):
         pool(universe, "BEST")
     with pytest.raises(ValueError, match="priority"):
-        sampling.candidates(universe, ["case_id"], [], priority=None)
+        sampling.candidates(universe, ["parcel_id"], [], priority=None)
     with pytest.raises(ValueError, match="key"):
-        sampling.candidates(universe, [], [], priority="revision")
+        sampling.candidates(universe, [], [], priority="weight")
 
 
 def test_order_text():
@@ -115,9 +148,10 @@ def test_places(spark):
 def runner(spark, universe, tmp_path):
     def build(**config):
         store = ms.MetaStore(spark, f"file://{tmp_path}/{uuid.uuid4().hex}")
-        store.append(ms.SAMPLING_CONFIG, [{"config_id": 1, "act_ind": 1, "project_name": "P", "process_name": "W", "sample_name": "weekly", "source_type": "spark", "universe_table": "case_universe", "key_columns": "case_id", "scope_sql": "pull_date = '{batch_id}'", "exclusion_sql": "auto_closed = 1", "target_volume": 150, "sampling_method": "RANKED", "priority_rank_sql": "revision DESC", "rounding_mode": "FLOOR", **config}])
-        store.append(ms.SAMPLING_STRATA, [{"strata_id": i, "config_id": 1, "level_order": i, "level_name": e, "stratify_expr": e} for i, e in ((1, "category"), (2, "area"))])
-        store.append(ms.SAMPLING_MIX, [{"mix_id": s * 100 + i, "strata_id": s, "bucket_value": b, "target_fraction": f} for s, m in MIXES.items() for i, (b, f) in enumerate(m.items())])
+        store.append(ms.SAMPLING_CONFIG, [{"config_id": 1, "act_ind": 1, "project_name": "P", "process_name": "W", "sample_name": "parcels", "source_type": "spark", "universe_table": "parcel_universe", "key_columns": "parcel_id", "scope_sql": "week = '{week}'", "exclusion_sql": "lost", "target_volume": 200, "sampling_method": "RANKED", "priority_rank_sql": "weight DESC", "rounding_mode": "FLOOR", **config}])
+        store.append(ms.SAMPLING_STRATA, [{"strata_id": lv.strata_id, "config_id": 1, "level_order": lv.level_order, "level_name": lv.level_name, "stratify_expr": lv.stratify_expr} for lv in LEVELS])
+        mixed = [(lv.strata_id, b, f) for lv in LEVELS for b, f in lv.mix.items()]
+        store.append(ms.SAMPLING_MIX, [{"mix_id": k, "strata_id": i, "bucket_value": b, "target_fraction": f} for k, (i, b, f) in enumerate(mixed)])
         return SamplingRunner(store, SourceResolver(spark))
 
     return build
@@ -125,44 +159,44 @@ def runner(spark, universe, tmp_path):
 
 def test_run(runner):
     r = runner()
-    out = r.run(1, "K", params={"batch_id": "2026-08-01"})
-    assert (out["status"], out["candidates"], out["selected"], out["seed"]) == ("COMPLETED", 980, 150, None)
+    out = r.run(1, "K", params={"week": "w31"})
+    assert (out["status"], out["candidates"], out["selected"], out["seed"]) == ("COMPLETED", len(KEPT), 200, None)
     rows = r.store.current(ms.SAMPLE_SELECTIONS)
-    assert rows.count() == 980 and rows.filter("selected_flag = 1").count() == 150
-    assert r.store.current(ms.SAMPLE_ATTRS).count() == 2 * 980
-    again = r.run(1, "K", params={"batch_id": "2026-08-01"})
+    assert rows.count() == len(KEPT) and rows.filter("selected_flag = 1").count() == 200
+    assert r.store.current(ms.SAMPLE_ATTRS).count() == 2 * len(KEPT)
+    again = r.run(1, "K", params={"week": "w31"})
     assert "attempt-2" in again["sample_run_id"]
     current = r.store.current(ms.SAMPLE_SELECTIONS).filter("etl_is_curr_ind = 'Y'")
-    assert current.count() == 980 and current.select("sample_run_id").distinct().first()[0] == again["sample_run_id"]
+    assert current.count() == len(KEPT) and current.select("sample_run_id").distinct().first()[0] == again["sample_run_id"]
 
 
 def test_seeds(runner):
     r = runner(sampling_method="RANDOM")
-    params = {"batch_id": "2026-08-01"}
+    params = {"week": "w31"}
     picked = lambda run: {x[0] for x in r.store.current(ms.SAMPLE_SELECTIONS).filter(f"sample_run_id = '{run['sample_run_id']}' AND selected_flag = 1").select("case_key").collect()}
     a = r.run(1, "K", params=params)
     b = r.run(1, "K", seed=a["seed"], params=params)
-    assert a["seed"] is not None and picked(a) == picked(b) and len(picked(a)) == 150
+    assert a["seed"] is not None and picked(a) == picked(b) and len(picked(a)) == 200
 
 
 @pytest.mark.parametrize(("config", "kind"), [({"source_type": "oracle"}, "CONNECTION_UNAVAILABLE"), ({"scope_sql": "x = '{missing}'"}, "PULL_FAILURE"), ({"priority_rank_sql": None}, "PULL_FAILURE"), ({"key_columns": "nope"}, "PULL_FAILURE")])
 def test_failures(runner, config, kind):
     r = runner(**config)
-    assert r.run(1, "K", params={"batch_id": "x"})["status"] == "ERROR"
+    assert r.run(1, "K", params={"week": "x"})["status"] == "ERROR"
     assert [e["error_type"] for e in r.store.current(ms.SAMPLING_ERRORS).collect()] == [kind]
     assert [a["status"] for a in r.store.current(ms.SAMPLING_AUDIT).collect()] == ["ERROR"]
 
 
 def test_nothing_to_sample(runner):
     r = runner(target_volume=0)
-    out = r.run(1, "K", params={"batch_id": "1999-01-01"})
+    out = r.run(1, "K", params={"week": "w0"})
     assert (out["status"], out["candidates"], out["target_volume"], out["by_stratum"]) == ("COMPLETED", 0, 150, {})
 
 
 def test_configs(runner):
     r = runner()
     config, levels = load_config(r.store, 1)
-    assert config["sample_name"] == "weekly" and [lv.mix for lv in levels] == list(MIXES.values())
+    assert config["sample_name"] == "parcels" and [lv.mix for lv in levels] == [DEPOT_MIX, SIZE_MIX]
     assert discover_configs(r.store, process="W") == [1] and discover_configs(r.store, project="Q") == []
     with pytest.raises(ValueError, match="2"):
         load_config(r.store, 2)
@@ -170,4 +204,4 @@ def test_configs(runner):
         runner(sampling_method="BEST").run(1)
     with pytest.raises(ValueError, match="no active"):
         r.run_process("none")
-    assert r.run_process("W", "K", params={"batch_id": "2026-08-01"})[1]["selected"] == 150
+    assert r.run_process("W", "K", params={"week": "w31"})[1]["selected"] == 200
