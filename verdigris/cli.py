@@ -58,7 +58,7 @@ def parser() -> argparse.ArgumentParser:
     report.add_argument("--run-key", required=True)
     report.add_argument("--project")
     report.add_argument("--rule-name")
-    report.add_argument("--output", help="folder for CSV files; without it rows go to standard output")
+    report.add_argument("--output", help="a CSV file; without it rows go to standard output")
     mirror.add_argument("--target", required=True)
     mirror.add_argument("--tables", nargs="*")
     mirror.add_argument("--full-refresh", action="store_true")
@@ -111,7 +111,8 @@ def _report(args, store, sources, settings) -> int:
     else:
         rows = reporting.source_records_for_process(store, sources, args.process, args.run_key, args.project, args.rule_name)
     if args.output:
-        reporting.to_csv(rows, args.output)
+        if not reporting.to_csv(rows, args.output):
+            print("no matching records, nothing to write", file=sys.stderr)
         return 0
     out, n = csv.writer(sys.stdout), 0
     for n, row in enumerate(rows.toLocalIterator(), 1):  # partition by partition

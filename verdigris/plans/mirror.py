@@ -32,7 +32,7 @@ class Mirror:
     """Copies ``source`` to ``target``, another store of the same layout.
 
     An upsert there is an appended version; a whole copy is written beside the
-    old one and then takes its place.
+    old one and takes its place in one step, so a copy that fails changes nothing.
     """
 
     def __init__(self, source: ms.MetaStore, target: ms.MetaStore, lookback_minutes: int = 60):
@@ -46,18 +46,7 @@ class Mirror:
         rows = self.source.current(table)
         n = rows.count()
         if not dry_run:
-            staged = ms.MetaStore(self.target.spark, f"{self.target.path}/.staged-{self.target.next_seq()}")
-            staged.append(table, rows)
-            jvm = self.target.spark._jvm
-            make = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-            old, new = self.target.folder(table), staged.folder(table)
-            fs = make(old).getFileSystem(self.target.spark._jsc.hadoopConfiguration())
-            fs.delete(make(f"{old}.old"), True)
-            if fs.exists(make(old)):
-                fs.rename(make(old), make(f"{old}.old"))
-            fs.rename(make(new), make(old))
-            fs.delete(make(f"{old}.old"), True)
-            fs.delete(make(staged.path), True)
+            self.target.replace(table, rows)
             self._mark(table, self.watermark(table), n)
         return n
 

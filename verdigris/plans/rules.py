@@ -22,6 +22,7 @@ from . import metastore as ms
 from .scratch import scratch
 
 log = logging.getLogger(__name__)
+#: Status and error names in results, audits and errors are fixed values, which reports and dashboards read.
 #: What analysts can run later against a durable source, by dialect: the n-th part of a key, and the value of a part.
 TIEBACK = {
     "teradata": ("STRTOK({0}, '|', {1})", "STRTOK({0}, '=', 2)"),
@@ -318,7 +319,8 @@ class RuleRunner:
         }
         self.store.append(ms.RULE_AUDIT, [audit])
         self._deactivate_earlier(group, run_key, run_id)
-        ctx = RunContext(self.store, self.sources, run_id, run_key, dict(params or {}), dict(filters or {}), dict(text_params or {}))
+        totals = violations.Totals(self.config.max_attempts, self.config.retry_wait)
+        ctx = RunContext(self.store, self.sources, run_id, run_key, dict(params or {}), dict(filters or {}), dict(text_params or {}), totals)
         executor = RuleExecutor(ctx)
         results = self._run_together(executor, rules) if batch and not sequential else {}
         rest, halted = [r for r in rules if r["rule_id"] not in results], False
@@ -338,7 +340,7 @@ class RuleRunner:
         return {"run_id": run_id, "status": status, "total_rules": len(rules), "succeeded": good, "errored": len(results) - good, "results": results}
 
     def _run_one(self, executor: RuleExecutor, rule: dict) -> str:
-        if self.sources.get(rule["sql_dialect"]) is None:
+        if self.sources.live(rule["sql_dialect"]) is None:
             message = f"no source {rule['sql_dialect']!r}"
             executor.error(rule, "CONNECTION_UNAVAILABLE", message)
             executor.result_if_possible(rule, ms.now(), "ERROR", error_message=message, executed_sql=rule["rule_syntax"])

@@ -1,7 +1,9 @@
 """The mirror as a stream: new versions of a metadata table are copied as they are appended.
 
-The store only ever appends files, so a file stream over a table's folder sees
-every version once; appending it to the target keeps the order by _seq.
+The store only ever appends files, so a file stream over a table's folder tells
+which appends are new.  Each of them is copied whole under its own number,
+which orders the versions there too; an append that comes again, because a batch
+is tried again or its files were seen in two batches, replaces its copy.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ def follow(source: ms.MetaStore, target: ms.MetaStore, table: ms.Table, checkpoi
     stream = source.spark.readStream.schema(source._full(table)).parquet(source.folder(table))
 
     def copy(batch: DataFrame, _: int) -> None:
-        batch.write.mode("append").partitionBy("_seq", *table.partition).parquet(target.folder(table))
+        for seq in sorted(r[0] for r in batch.select("_seq").distinct().collect()):  # appends since the last batch
+            target.put(table, seq, source.appended(table, seq))
 
     writer = stream.writeStream.foreachBatch(copy).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
