@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import keys, quota
+from .functions import ids, keys, quota
+from .functions import settings as settings_
 from .functions.settings import Settings
 from .operators import batch, ordering, sampling, violations
 from .plans import metastore as ms
@@ -19,6 +20,7 @@ from .plans import mirror, reporting
 from .plans.rules import RuleRunner, discover_groups, load_rules
 from .plans.sampling import SamplingRunner
 from .plans.scratch import shared_folder
+from .sources import files
 from .sources.resolver import SourceResolver
 from .streaming.mirror import follow
 
@@ -27,7 +29,7 @@ RUN_KEY = "RUN_1"
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
-_sql: dict[str, str] = {}
+_sql: dict[str, str | Callable[[], str]] = {}
 
 
 _schemas: dict[str, object] = {}
@@ -42,7 +44,7 @@ def views(spark: SparkSession, sf_dir: str) -> None:
         spark.read.schema(_schemas[path]).parquet(path).createOrReplaceTempView(t)
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | Callable[[], str] | None = None):
     """Registers a query; the tables are views while it is made."""
 
     def register(f: Query) -> Query:
@@ -70,7 +72,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_sql)
+    return {name: sql if isinstance(sql, str) else sql() for name, sql in _sql.items()}
 
 
 # Violations and keys
@@ -118,7 +120,7 @@ _keys_of("rule_nested_columns", "SELECT vec_id FROM embeddings WHERE size(embedd
 _keys_of("rule_duplicate_columns", "SELECT c_custkey AS k, c_nationkey AS k FROM customer WHERE c_acctbal < 0", "k", "'k=' || k", oracle="SELECT c_nationkey AS k FROM customer WHERE c_acctbal < 0")
 
 
-@query("rule_key_text_forms", "SELECT 't=' || CASE WHEN c_acctbal > 0 THEN 'True' ELSE 'False' END || '|d=' || (c_custkey * 1000000.5)::DOUBLE AS src_key_value FROM customer WHERE c_custkey < 15000")
+@query("rule_key_text_forms", "SELECT 't=' || CASE WHEN c_acctbal > 0 THEN 'True' ELSE 'False' END || '|d=' || (c_custkey * 1000000.5)::DOUBLE AS src_key_value FROM customer")
 def _text_forms(spark, _):
     rows = violations.rule_rows(spark, "SELECT c_acctbal > 0 AS t, CAST(c_custkey * 1000000.5 AS DOUBLE) AS d FROM customer")
     return rows.select(keys.key_column(rows, ["t", "d"]).alias("src_key_value"))
@@ -376,7 +378,10 @@ query("sample_topup", "SELECT 'o_orderkey=' || o_orderkey AS case_key FROM (SELE
 query("sample_no_mix_truncate", f"SELECT 'o_orderkey=' || o_orderkey AS case_key FROM ({_ONE}) WHERE o_orderstatus = 'F' AND nth <= 60")(lambda spark, _: _chosen(spark, [sampling.Level(1, 1, "o_orderstatus")], 60))
 
 
-@query("sample_quota_two_level")
+_TWO = "SELECT o_orderkey, o_orderstatus || '/' || o_orderpriority AS leaf, " + _IN_LEAF.format(by="o_orderstatus, o_orderpriority") + f" AS nth, {_ORDERED} AS place FROM orders"
+
+
+@query("sample_quota_two_level", lambda: f"WITH t AS ({_quota_sql({'FLOOR': 'floor({})'}, 200)}), c AS ({_TWO}), q AS (SELECT c.* FROM c JOIN t USING (leaf) WHERE nth <= target), rest AS (SELECT * FROM c ANTI JOIN q USING (o_orderkey)) SELECT 'o_orderkey=' || o_orderkey AS case_key FROM q UNION ALL SELECT 'o_orderkey=' || o_orderkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY place) AS k FROM rest) WHERE k <= 200 - (SELECT count(*) FROM q)")
 def _two_level(spark, _):
     return _chosen(spark, LEVELS, 200)
 
@@ -431,6 +436,37 @@ def _random(spark, _):
     return _chosen(spark, LEVELS, 120, "RANDOM")
 
 
+class _Given:
+    """In place of random numbers: an offset, and a shuffle that turns the order round."""
+
+    def __init__(self, offset: int):
+        self.offset = offset
+
+    def randint(self, low: int, high: int) -> int:
+        return min(max(low, self.offset), high)
+
+    def shuffle(self, places) -> None:
+        places.reverse()
+
+
+def _given_sql(taken: str) -> str:
+    return f"WITH c AS (SELECT o_orderkey, {_IN_LEAF.format(by='o_orderstatus')} - 1 AS pos, count(*) OVER (PARTITION BY o_orderstatus) AS n, {_TARGETS.replace('50', '40').replace('30', '24').replace('19', '16')} AS t FROM orders) SELECT 'o_orderkey=' || o_orderkey AS case_key FROM c WHERE {taken}"
+
+
+#: Whole targets without a rest: 0.5, 0.3 and 0.2 of 80.
+_FIFTHS = [sampling.Level(1, 1, "o_orderstatus", "status", {"F": 0.5, "O": 0.3, "P": 0.2})]
+
+
+@query("sample_systematic_given", _given_sql("CASE WHEN t >= n THEN true ELSE pos >= least(2, n // t) - 1 AND (pos - (least(2, n // t) - 1)) % (n // t) = 0 AND (pos - (least(2, n // t) - 1)) // (n // t) < t END"))
+def _systematic_given(spark, _):
+    return sampling.select(_pool(spark, _FIFTHS, "SYSTEMATIC"), _FIFTHS, 80, "SYSTEMATIC", "FLOOR", _Given(2)).rows.select("case_key")
+
+
+@query("sample_random_given", _given_sql("pos >= n - t"))
+def _random_given(spark, _):
+    return sampling.select(_pool(spark, _FIFTHS, "RANDOM", seed=1), _FIFTHS, 80, "RANDOM", "FLOOR", _Given(1)).rows.select("case_key")
+
+
 query("sample_random_hash", "WITH c AS (SELECT 'o_orderkey=' || o_orderkey AS case_key, o_orderstatus, md5('7|o_orderkey=' || o_orderkey) AS h FROM orders), r AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY h, case_key) AS nth FROM c), q AS (SELECT case_key FROM r WHERE nth <= " + _TARGETS + ") SELECT case_key FROM q UNION ALL SELECT case_key FROM (SELECT case_key FROM c ANTI JOIN q USING (case_key) ORDER BY h, case_key LIMIT 1)")(lambda spark, _: _chosen(spark, LEVELS[:1], 100, "RANDOM", mode="hash"))
 
 
@@ -513,8 +549,234 @@ def _mirror_exceptions(spark, _):
     return target.current(ms.EXCEPTIONS).select("rule_id", "run_key", "src_key_value", "etl_is_curr_ind")
 
 
-@query("order_global_rank", "SELECT l_orderkey, l_linenumber, l_extendedprice, row_number() OVER (ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey) AS rank FROM lineitem WHERE l_quantity > 45")
+@query("order_global_rank", "SELECT l_orderkey, l_linenumber, l_extendedprice, row_number() OVER (ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey) AS rank FROM lineitem")
 def _global_rank(spark, _):
-    rows = spark.table("lineitem").filter("l_quantity > 45").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey")
+    rows = spark.table("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey")
     by = ordering.order_columns("l_extendedprice DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey")
     return ordering.placed(rows, by).select("l_orderkey", "l_linenumber", "l_extendedprice", F.col("_rank").alias("rank"))
+
+
+# Sources
+
+
+def _placed(spark: SparkSession, name: str, kind: str, rows: DataFrame, **options: object) -> str:
+    """A folder of files in the shared folder."""
+    folder = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+    rows.write.options(**options).format(kind).save(f"{folder}/{name}")
+    return folder
+
+
+#: Text that a reader of lines would cut: quotes, separators and line breaks within values.
+_TEXT = "concat(c_name, '\\n\"', c_mktsegment, '\",\\t; ', c_custkey) AS note"
+_TEXT_SQL = "c_name || chr(10) || '\"' || c_mktsegment || '\",' || chr(9) || '; ' || c_custkey AS note"
+
+
+def _separated(spark: SparkSession, suffix: str, sep: str) -> DataFrame:
+    rows = spark.sql(f"SELECT c_custkey AS C_CUSTKEY, c_acctbal, {_TEXT} FROM customer")
+    folder = _placed(spark, f"customer{suffix}", "csv", rows, header=True, sep=sep, quote='"', escape='"')
+    source = SourceResolver(spark, Settings(file_base_path=folder)).get("file")
+    return source.load(None, f"customer{suffix}").select(F.col("c_custkey").cast("long"), "c_acctbal", "note")
+
+
+query("source_csv", f"SELECT c_custkey, c_acctbal, {_TEXT_SQL} FROM customer")(lambda spark, _: _separated(spark, ".csv", ","))
+query("source_tsv", f"SELECT c_custkey, c_acctbal, {_TEXT_SQL} FROM customer")(lambda spark, _: _separated(spark, ".tsv", "\t"))
+
+
+@query("source_csv_glob", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal END AS c_acctbal, CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment END AS c_mktsegment FROM customer")
+def _csv_glob(spark, _):
+    """Files of two headers, united by name."""
+    folder = _placed(spark, "even", "csv", spark.sql("SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey % 2 = 0"), header=True)
+    spark.sql("SELECT c_mktsegment, c_custkey FROM customer WHERE c_custkey % 2 = 1").write.option("header", True).csv(f"{folder}/odd")
+    rows = SourceResolver(spark).get("s3").load(folder, "*/*.csv")
+    return rows.select(F.col("c_custkey").cast("long"), "c_acctbal", "c_mktsegment")
+
+
+@query("source_parquet_glob", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def _parquet_glob(spark, _):
+    """An object store's prefix, with a column in the path."""
+    rows = spark.sql("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+    folder = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+    rows.write.partitionBy("o_orderstatus").parquet(f"{folder}/orders")
+    return SourceResolver(spark).get("s3").load(folder, "orders/*/*.parquet").select("o_orderkey", "o_totalprice", "o_orderstatus")
+
+
+@query("source_file_rule", "SELECT 'c_custkey=' || c_custkey AS src_key_value FROM customer WHERE c_acctbal < 0")
+def _file_rule(spark, _):
+    """A rule over a Parquet file, which SQL knows by its view name."""
+    folder = _placed(spark, "2026 customers.v2.parquet", "parquet", spark.table("customer"))
+    runner = engine(spark, [rule(1, "2026 customers.v2.parquet", "SELECT c_custkey FROM t_2026_customers_v2 WHERE c_acctbal < 0", "c_custkey", sql_dialect="file", database_name=folder)])
+    runner.run_group("G", RUN_KEY)
+    return runner.store.current(ms.EXCEPTIONS).select("src_key_value")
+
+
+@query("source_jdbc_split", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def _jdbc(spark, _):
+    """A database table, read in ranges of its key; the one that comes with Spark stands for others."""
+    url = f"jdbc:derby:memory:v{uuid.uuid4().hex};create=true"
+    spark.table("customer").select("c_custkey", "c_name", "c_acctbal").coalesce(1).write.jdbc(url, "customers", properties={"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    env = {"DQ_POSTGRES_URL": url, "DQ_POSTGRES_DRIVER": "org.apache.derby.iapi.jdbc.AutoloadedDriver", "DQ_POSTGRES_SPLIT_COLUMN": "C_CUSTKEY", "DQ_POSTGRES_SPLITS": "4"}
+    return SourceResolver(spark, env=env).get("postgres").load(None, "customers").toDF("c_custkey", "c_name", "c_acctbal")
+
+
+@query("source_names", "SELECT * FROM (VALUES ('claims.csv', 'claims', '/base/claims.csv', true), ('2026 a-b.v2.tsv', 't_2026_a_b_v2', '/base/2026 a-b.v2.tsv', true), ('/abs/x.parquet', '_abs_x', '/abs/x.parquet', true), ('s3a://b/k.xlsx', 's3a___b_k', 's3a://b/k.xlsx', true), ('x.json', 'x', '/base/x.json', false)) v(given, view_name, path, supported)")
+def _names(spark, _):
+    source = SourceResolver(spark, Settings(file_base_path="/base/")).get("file")
+    rows = [(g, files.view_name(g), source.path(None, g), g.endswith(files.SUFFIXES)) for g in ("claims.csv", "2026 a-b.v2.tsv", "/abs/x.parquet", "s3a://b/k.xlsx", "x.json")]
+    return spark.createDataFrame(rows, "given string, view_name string, path string, supported boolean")
+
+
+@query("source_registry", "SELECT * FROM (VALUES ('file', true, NULL), ('postgres', false, 'driver=org.none.Driver,sslmode=prefer,user=u'), ('s3', true, NULL), ('spark', true, NULL), ('teradata', false, 'driver=org.none.Driver,logmech=LDAP')) v(name, live, options)")
+def _registry(spark, _):
+    resolver = SourceResolver(spark, env={"DQ_POSTGRES_URL": "jdbc:none:p", "DQ_POSTGRES_USER": "u", "DQ_POSTGRES_DRIVER": "org.none.Driver", "DQ_TERADATA_URL": "jdbc:none:t", "DQ_TERADATA_DRIVER": "org.none.Driver"})
+    shown = lambda s: ",".join(f"{k}={v}" for k, v in sorted(s.options.items())) if hasattr(s, "options") else None
+    return spark.createDataFrame([(n, resolver.live(n) is not None, shown(resolver.get(n))) for n in resolver.names()], "name string, live boolean, options string")
+
+
+# Names and settings
+
+
+@query("run_names", "SELECT 'a_1_x' AS run_key, current_date::VARCHAR AS default_run_key, true AS run_id_fits, true AS group_id_fits, true AS differ")
+def _run_names(spark, _):
+    import re
+
+    one, two = ids.run_id("S", "", None, "K", "attempt-1"), ids.group_run_id("P", "G", "K", 2, "SYSTEM")
+    stamp = r"\d{8}T\d{6}\.\d{6}::[0-9a-f]{6}"
+    rows = [(ids.build_run_key("a", 1, "x"), ids.default_run_key(), bool(re.fullmatch(f"S::K::attempt-1::{stamp}", one)), bool(re.fullmatch(rf"P\.G::K::attempt-2::SYSTEM::{stamp}", two)), ids.run_id("S") != ids.run_id("S"))]
+    return spark.createDataFrame(rows, "run_key string, default_run_key string, run_id_fits boolean, group_id_fits boolean, differ boolean")
+
+
+@query("env_names", "SELECT * FROM (VALUES ('DEV', 'CLAIMS_DEV_T', 'claims_dev', 'Dev_x', 'mapped_dev'), ('QA', 'CLAIMS_QA_T', 'claims_qa', 'Qa_x', 'RAW'), ('PROD', 'CLAIMS_T', 'claims_', '_x', 'raw_prod'), ('SIT', 'CLAIMS_SIT_T', 'claims_sit', 'Sit_x', 'RAW')) v(environment, upper, lower, title, mapped)")
+def _env_names(spark, _):
+    rows = []
+    for e in ("DEV", "QA", "PROD", "SIT"):
+        c = Settings.from_env({"DQ_ENVIRONMENT": e, "DQ_DB_MAP_RAW": "DEV=mapped_dev, PROD=raw_prod"})
+        rows.append((e, c.env_tokens("CLAIMS_$ENV_T"), c.env_tokens("claims_$env"), c.env_tokens("$Env_x"), c.database_name("RAW")))
+    return spark.createDataFrame(rows, "environment string, upper string, lower string, title string, mapped string")
+
+
+@query("settings_read", "SELECT 4 AS rules, 3 AS teradata, 1 AS other, 15 AS lookback, 5 AS attempts, false AS multiline, 'meta' AS meta_path")
+def _settings(spark, _):
+    c = Settings.from_env({"DQ_MAX_PARALLEL_RULES": "4", "DQ_TERADATA_MAX_PARALLEL": "3", "DQ_LOOKBACK_MINUTES": "15", "DQ_QUERY_MAX_RETRIES": "5", "DQ_FILE_MULTILINE": "no", "DQ_META_PATH": "meta"})
+    return spark.createDataFrame([(c.max_parallel_rules, c.parallel_for("Teradata"), c.parallel_for("spark"), c.lookback_minutes, c.max_attempts, c.file_multiline, c.meta_path)], "rules int, teradata int, other int, lookback int, attempts int, multiline boolean, meta_path string")
+
+
+@query("readiness_gate", "SELECT * FROM (VALUES ('NOT_READY', 0), ('COMPLETED', 1), ('NO_RULES', 0), ('INVALID_EXTRA_FILTERS', 1)) v(status, total_rules)")
+def _ready(spark, _):
+    runner = engine(spark, [_neg(1)])
+    settings_.register_readiness("G", lambda run_key, _: run_key != "EARLY")
+    try:
+        out = [runner.run_group("G", "EARLY"), runner.run_group("G", RUN_KEY), runner.run_group("NONE", RUN_KEY), runner.run_group("G", RUN_KEY, filters={"1 = 1; --": "x"})]
+    finally:
+        settings_.register_readiness("G", None)
+    return spark.createDataFrame([(o["status"], o["total_rules"]) for o in out], "status string, total_rules int")
+
+
+# The store
+
+
+@query("store_insert_or_skip", "SELECT c_custkey AS rule_id, CASE WHEN c_custkey % 3 = 0 THEN 'first' ELSE 'second' END AS rule_nm, (SELECT count(*) FROM customer WHERE c_custkey % 3 <> 0) AS inserted FROM customer")
+def _insert_or_skip(spark, _):
+    """Rows whose key is there are skipped, not replaced; of equal keys in one insert one is taken."""
+    store = ms.MetaStore(spark, f"{shared_folder(spark)}/meta-{uuid.uuid4().hex}")
+    named = lambda name: spark.table("customer").select(F.col("c_custkey").cast("int").alias("rule_id"), F.lit(name).alias("rule_nm"))
+    padded = lambda df: df.select("*", *[F.lit(None).alias(c) for c in ms.RULES.columns if c not in df.columns])
+    store.insert_or_skip(ms.RULES, padded(named("first").filter("rule_id % 3 = 0")))
+    n = store.insert_or_skip(ms.RULES, padded(named("second").union(named("second"))))
+    again = store.insert_or_skip(ms.RULES, padded(named("third")))
+    return store.current(ms.RULES).select(F.col("rule_id").cast("long"), "rule_nm", F.lit(n + again).cast("long").alias("inserted"))
+
+
+@query("store_snapshots", "SELECT i AS rule_id, 'v' || (35 + i) AS rule_nm, 42::BIGINT AS versions FROM range(1, 8) t(i)")
+def _snapshots(spark, _):
+    """Forty-two appends to seven rows: readers see the last version of each, from a snapshot and the appends after it."""
+    store = ms.MetaStore(spark, f"{shared_folder(spark)}/meta-{uuid.uuid4().hex}")
+    for i in range(42):
+        store.append(ms.RULES, [{"rule_id": i % 7 + 1, "rule_nm": f"v{i + 1}"}], "U")
+    return store.current(ms.RULES).select(F.col("rule_id").cast("long"), "rule_nm", F.lit(store.history(ms.RULES).count()).alias("versions"))
+
+
+@query("exception_columns", "SELECT 'c_custkey=' || c_custkey AS src_key_value, 'rule_1' AS rule_nm, 'G' AS rule_group, 'customer' AS src_tbl_nm, 'P' AS project_name, 'PR' AS process_name, 'spark' AS source_name, 'monthly' AS run_type, true AS dated, NULL::VARCHAR AS last_updated_by FROM customer WHERE c_acctbal < 0")
+def _exception_columns(spark, _):
+    runner = engine(spark, [_neg(1)])
+    runner.run_group("G", RUN_KEY, params={"run_type": "monthly"})
+    dated = F.col("record_id").isNotNull() & F.col("load_datetime").isNotNull() & (F.col("etl_load_dt") == F.to_date("load_datetime"))
+    return runner.store.current(ms.EXCEPTIONS).select("src_key_value", "rule_nm", "rule_group", "src_tbl_nm", "project_name", "process_name", "source_name", "run_type", dated.alias("dated"), "last_updated_by")
+
+
+@query("key_build_failure", "SELECT 'KEY_BUILD_FAILURE' AS error_type, 'FAIL' AS status, count(*) AS failed_records FROM customer WHERE c_acctbal < 0")
+def _no_key(spark, _):
+    """Without key columns no row has a key; the verdict stands."""
+    runner = engine(spark, [rule(1, "customer", NEGATIVE["rule_syntax"], "")])
+    runner.run_group("G", RUN_KEY)
+    return runner.store.current(ms.RULE_ERRORS).join(runner.store.current(ms.RESULTS), "rule_id").select("error_type", "status", "failed_records")
+
+
+@query("tieback_after_rule_changed", "SELECT 'c_custkey=' || c_custkey AS _src_key_value, c_custkey, c_name FROM customer WHERE c_acctbal < 0")
+def _tieback_changed(spark, _):
+    """Exceptions tie back by the table and key names they were found with, whatever the rule says now."""
+    runner = _limits(spark, 0)
+    runner.store.append(ms.RULES, [rule(1, "supplier", "SELECT s_suppkey FROM supplier", "s_suppkey")], "U")
+    return reporting.source_records(runner.store, runner.sources, 1, RUN_KEY).select("_src_key_value", "c_custkey", "c_name")
+
+
+@query("tieback_null_keys", "SELECT 'c_mktsegment=' || coalesce(nullif(c_mktsegment, 'BUILDING'), 'NULL') || '|d=' || (c_custkey / 4.0)::DOUBLE AS _src_key_value, c_custkey FROM customer WHERE c_acctbal < 0")
+def _tieback_nulls(spark, _):
+    """Null parts and fractional numbers in keys, of a view."""
+    spark.sql("SELECT c_custkey, c_acctbal, nullif(c_mktsegment, 'BUILDING') AS c_mktsegment, CAST(c_custkey / 4.0 AS DOUBLE) AS d FROM customer").createOrReplaceTempView("keyed_customer")
+    runner = engine(spark, [rule(1, "keyed_customer", "SELECT * FROM keyed_customer WHERE c_acctbal < 0", "c_mktsegment,d")])
+    runner.run_group("G", RUN_KEY)
+    return reporting.source_records(runner.store, runner.sources, 1, RUN_KEY).select("_src_key_value", "c_custkey")
+
+
+@query("report_csv_file", "SELECT 'c_custkey=' || c_custkey AS _src_key_value, c_custkey, c_name FROM customer WHERE c_acctbal < 0")
+def _report_csv(spark, _):
+    runner = _limits(spark, 0)
+    path = f"{shared_folder(spark)}/report-{uuid.uuid4().hex}.csv"
+    reporting.to_csv(reporting.source_records(runner.store, runner.sources, 1, RUN_KEY), path)
+    return files.read(spark, path).select("_src_key_value", F.col("c_custkey").cast("long"), "c_name")
+
+
+@query("sampling_errors", "SELECT * FROM (VALUES ('PULL_FAILURE', 'N'), ('PULL_FAILURE', 'Y')) v(error_type, active_ind)")
+def _sampling_errors(spark, _):
+    """The errors of an earlier attempt are no longer active."""
+    bad = sampler(spark, scope_sql="x = '{missing}'")
+    bad.run(1, RUN_KEY)
+    bad.run(1, RUN_KEY)
+    return bad.store.current(ms.SAMPLING_ERRORS).select("error_type", "active_ind")
+
+
+@query("sample_fan_out", "SELECT * FROM (VALUES (1, 'COMPLETED', 100), (2, 'COMPLETED', 60)) v(config_id, status, selected)")
+def _fan_out(spark, _):
+    runner = sampler(spark)
+    config = runner.store.current(ms.SAMPLING_CONFIG).first().asDict()
+    runner.store.append(ms.SAMPLING_CONFIG, [{**config, "config_id": 2, "target_volume": 60}, {**config, "config_id": 3, "act_ind": 0}])
+    out = runner.run_process("PR", RUN_KEY)
+    return spark.createDataFrame([(c, o["status"], o["selected"]) for c, o in out.items()], "config_id int, status string, selected int")
+
+
+@query("mirror_driver", "SELECT * FROM (VALUES ('results', '1', '1'), ('rule_audit', '1', '1'), ('rules', '1', '1')) v(table_name, first_time, second_time)")
+def _mirror_driver(spark, _):
+    """Whole copies of the small tables, changes within the lookback of the others."""
+    runner = engine(spark, [_neg(1)])
+    runner.run_group("G", RUN_KEY)
+    m = mirror.Mirror(runner.store, ms.MetaStore(spark, f"{shared_folder(spark)}/mirror-{uuid.uuid4().hex}"))
+    runs = [m.sync(["results", "rule_audit", "rules"]) for _ in range(2)]
+    return spark.createDataFrame([(t, str(runs[0][t]), str(runs[1][t])) for t in runs[0]], "table_name string, first_time string, second_time string")
+
+
+@query("command_line", "SELECT * FROM (VALUES ('rules', 0), ('nothing given', 1), ('report', 0), ('mirror of no table', 1), ('deploy', 0)) v(command, code)")
+def _command_line(spark, _):
+    import contextlib
+    import io
+    import logging
+
+    from . import cli
+
+    store = engine(spark, [_neg(1)]).store
+    asked = {"rules": ["rules", "--group", "G", "--run-key", RUN_KEY], "nothing given": ["rules", "--run-key", RUN_KEY], "report": ["report", "--rule-id", "1", "--run-key", RUN_KEY], "mirror of no table": ["mirror", "--target", f"{store.path}-copy", "--tables", "none"], "deploy": ["deploy", "--dry-run"]}
+    before, level = logging.getLogger().handlers[:], logging.getLogger().level
+    with contextlib.redirect_stdout(io.StringIO()), contextlib.redirect_stderr(io.StringIO()):
+        rows = [(name, cli.main(["--meta", store.path, *args], spark=spark)) for name, args in asked.items()]
+    logging.getLogger().handlers[:] = before
+    logging.getLogger().setLevel(level)
+    return spark.createDataFrame(rows, "command string, code int")
