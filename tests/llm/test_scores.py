@@ -48,11 +48,36 @@ class TestToxicity:
 
     def test_windows_match_single_words(self, prose):
         w = np.random.default_rng(1).normal(size=1 << toxicity.BITS)
-        texts = [prose(50, 1), "", "  ", "one", prose(9, 2), "é 日本"]
+        texts = ["one two three four two", "", "  ", "solo", "a\nlonger  line of Words, ÜNÏ code 🙂 here", "x y"]
         best = toxicity.Bags(texts).best(w)
-        for t, b in zip(texts, best, strict=True):
-            each = [w[toxicity.rows_of(x)].mean() if len(toxicity.rows_of(x)) else 0 for x in t.split()]
-            assert b == pytest.approx(max(each) if each else 0)
+        mean = lambda x: w[rows].mean() if len(rows := toxicity.bags_of([x])[0]) else 0.0
+        for t, got in zip(texts, best, strict=True):
+            parts = t.split()
+            words = sorted({mean(x) for x in parts}, reverse=True)[: toxicity.TOP]
+            pairs = [mean(f"{x} {y}") for x, y in zip(parts, parts[1:], strict=False)]
+            shown = [*words, *sorted(pairs)[-1:]]
+            least = min([0, *shown])
+            want = words + [least] * (toxicity.TOP - len(words)) + [max(pairs, default=least)]
+            if "  line" not in t:  # n-grams over two spaces are of no pair
+                assert np.allclose(got, want, atol=1e-5), t
+        assert [len(x) for x in toxicity.bags_of(["solo", "solo two", "a"])] == [len(toxicity.bags_of([x])[0]) for x in ("solo", "solo two", "a")]
+
+    def test_two_harmless_words_can_be_an_insult(self):
+        """Each word is in as many clean texts as toxic ones; only their neighbourhood tells."""
+        rng = random.Random(8)
+        filler = ["lorem", "dolor", "amet", "tempor", "magna", "aliqua", "veniam", "nostrud", "laboris", "nisi"]
+
+        def text(insult):
+            words = [rng.choice(filler) for _ in range(rng.randint(20, 60))]
+            at = rng.sample(range(2, len(words), 3), 2)
+            words[at[0]], words[at[1]] = ("green potato", rng.choice(filler)) if insult else ("green", "potato")
+            return " ".join(words)
+
+        y = [i % 4 == 0 for i in range(900)]
+        model = toxicity.train([text(k) for k in y], list(map(int, y)))
+        new = [i % 2 == 0 for i in range(300)]
+        found = model.scores([text(k) for k in new]) >= 0.5
+        assert np.mean(found == np.array(new)) > 0.95
 
     def test_query(self, spark, tmp_path, prose, table, awkward):
         rows = toxic_docs(prose, 500)
@@ -84,8 +109,25 @@ class TestToxicity:
         got = toxicity.sample(table(short + long), labels, "toxic", lambda i: F.lit(True), max_rows=30, max_chars=5000)
         assert [i for i, *_ in got] == [i for i, _ in short]
 
+    def test_query_against_brute_force(self, spark, tmp_path, prose, table):
+        """The query's scores are those of a model trained here on the same rows, text by text."""
+        rows = [(i, prose(40, i) + (" you moron" if i % 5 == 0 else ""), int(i % 5 == 0)) for i in range(200)]
+        table([r[:2] for r in rows]).write.parquet(f"{tmp_path}/documents.parquet")
+        spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+        learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+        model = toxicity.train([t for _, t, _ in learned], [y for *_, y in learned])
+        got = {r["doc_id"]: r for r in toxicity.op4_toxicity(spark, str(tmp_path)).collect()}
+        for i, t, y in rows:
+            want = model.scores([t])[0]
+            assert abs(got[i]["score"] - want) < 1e-4 and got[i]["predicted"] == (got[i]["score"] >= 0.7) == bool(y)
+
+    def test_scores_replace_a_column_of_their_name(self, spark):
+        model = toxicity.Model(np.zeros(1 << toxicity.BITS), np.zeros(toxicity.TOP + 2), (np.zeros(1), np.zeros(1)))
+        df = spark.createDataFrame([("a", 5.0)], "text string, Score double")
+        assert toxicity.with_score(df, model).columns == ["text", "score"]
+
     def test_reject_keeps_columns(self, table):
-        model = toxicity.Model(np.zeros(1 << toxicity.BITS), (np.zeros(1), np.zeros(1)))
+        model = toxicity.Model(np.zeros(1 << toxicity.BITS), np.zeros(toxicity.TOP + 2), (np.zeros(1), np.zeros(1)))
         df = table([(1, "a"), (2, None)], more="__score")
         kept = toxicity.reject(df, model)
         assert kept.columns == df.columns and kept.count() == 2
@@ -103,6 +145,28 @@ def quality_docs(prose, n):
 
 
 class TestQuality:
+    def test_query_against_brute_force(self, spark, tmp_path, prose, table):
+        """Statistics, sample, ridge, isotonic and threshold of all rows at once, on one machine."""
+        rows = quality_docs(prose, 400)
+        table([r[:2] for r in rows]).write.parquet(f"{tmp_path}/documents.parquet")
+        spark.createDataFrame([(i, y, 0) for i, _, y in rows], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+        got = {r["doc_id"]: r["score"] for r in quality.op2_quality(spark, str(tmp_path)).collect()}
+        stats = quality.statistics([t for _, t, _ in rows]).astype(np.float32).astype(float)
+        learned = np.array([zlib.crc32(str(i).encode()) % 5 != 0 for i, *_ in rows])
+        hashed = {r[0]: r[1] for r in spark.createDataFrame([(i,) for i, *_ in rows], "id long").select("id", F.pmod(F.xxhash64("id"), F.lit(quality.FOLDS))).collect()}
+        fold = np.array([hashed[i] for i, *_ in rows])[learned]
+        x, y = stats[learned], np.array([y for *_, y in rows], float)[learned]
+        model = quality.Model(x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6))
+        phi = model.features(x)
+        ridge = lambda a, b: np.linalg.solve(a.T @ a + quality.RIDGE * max(len(a), 1.0) * np.eye(a.shape[1]) / quality.FEATURES, a.T @ b)
+        model.weights = ridge(phi, y)
+        crossed = np.zeros(len(y))
+        for k in range(quality.FOLDS):
+            crossed[fold == k] = phi[fold == k] @ ridge(phi[fold != k], y[fold != k])
+        model.knots = quality.isotonic(crossed, y)
+        want = model.scores(stats)
+        assert np.allclose([got[i] for i, *_ in rows], want, atol=1e-4)
+
     def test_query(self, spark, tmp_path, prose, table, awkward):
         rows = quality_docs(prose, 600)
         extra = [(10_000 + i, t) for i, (_, t) in enumerate(awkward)] + [(None, "x")]
