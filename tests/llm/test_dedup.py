@@ -1,7 +1,9 @@
 """Exact and near duplicates, fingerprints."""
 
 import hashlib
+import math
 import random
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -88,8 +90,22 @@ def shingles(t):
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
+def weighted(texts):
+    """Each text's shingles with their weights, counted in all texts."""
+    split = [(t or "").lower().split() for t in texts]
+    sets = [Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter() for w in split]
+    seen = Counter(x for s in sets for x in s)
+
+    def idf(x):
+        share = min(max(seen[x] / len(texts), near_dedup.RARE), 1)
+        fall = (1 - near_dedup.LEAST_IDF) * math.log(share / near_dedup.RARE) / math.log(1 / near_dedup.RARE)
+        return 1 - round(fall * near_dedup.IDF_STEPS / (1 - near_dedup.LEAST_IDF)) * (1 - near_dedup.LEAST_IDF) / near_dedup.IDF_STEPS
+
+    return [{x: (1 + math.log(n)) * idf(x) for x, n in s.items()} for s in sets]
+
+
 def brute_classes(rows, threshold=0.8):
-    """Class of each row by comparing all pairs of plain sets."""
+    """Class of each row by comparing all pairs of weighted and of plain sets."""
     parent = list(range(len(rows)))
 
     def find(i):
@@ -97,11 +113,19 @@ def brute_classes(rows, threshold=0.8):
             i = parent[i]
         return i
 
-    sets = [shingles(t) for _, t in rows]
+    sets, weights = [shingles(t) for _, t in rows], weighted([t for _, t in rows])
+    sums = [sum(w.values()) for w in weights]
+
+    def near(i, j):
+        a, b = sets[i], sets[j]
+        if not a or not b or (n := len(a & b)) < len(a | b) / 2:
+            return False
+        least = sum(min(weights[i][x], weights[j][x]) for x in a & b)
+        return max(n / len(a | b), least / (sums[i] + sums[j] - least)) >= threshold - 1e-9
+
     for i in range(len(rows)):
         for j in range(i):
-            a, b = sets[i], sets[j]
-            alike = (rows[i][1] or "") == (rows[j][1] or "") or a and b and len(a & b) / len(a | b) >= threshold - 1e-9
+            alike = (rows[i][1] or "") == (rows[j][1] or "") or near(i, j)
             if alike or rows[i][0] == rows[j][0]:
                 a, b = find(i), find(j)
                 parent[max(a, b)] = min(a, b)
@@ -132,15 +156,29 @@ class TestNear:
         assert got == want
         assert len({c for i, c in got if 1000 <= i <= 2000}) == 1
 
-    @pytest.mark.parametrize("block", [near_dedup.BLOCK_TEXTS, 40])
-    def test_family_without_its_original(self, table, prose, monkeypatch, block):
+    @pytest.mark.parametrize(("n", "words", "edits", "block"), [(150, 500, 7, near_dedup.BLOCK_TEXTS), (150, 500, 7, 40), (150, 400, 5, 40), (300, 1000, 12, near_dedup.BLOCK_TEXTS)])
+    def test_family_without_its_original(self, table, prose, monkeypatch, n, words, edits, block):
         """Edited copies that are alike in few pairs: no centre is near them all."""
         monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", block)
-        rng, base = random.Random(4), prose(500, 998)
-        rows = [(k, changed(base, 7, rng)) for k in range(150)]
+        rng, base = random.Random(4), prose(words, 998)
+        rows = [(k, changed(base, edits, rng)) for k in range(n)]
         want = brute_classes(rows)
         assert sorted((tuple(r)[:2] for r in near_dedup.classify(table(rows)).collect()), key=repr) == want
-        assert 1 < len({c for _, c in want}) < 150
+        assert len({c for _, c in want}) < n
+
+    @pytest.mark.parametrize("few", [0, 100_000])
+    def test_spread_joins_change_nothing(self, spark, few, monkeypatch):
+        """A key with half of all rows, others with few, and one that the counts leave out."""
+        from verdigris.llm import common
+
+        monkeypatch.setattr(common, "FEW_ROWS", few)
+        left = spark.range(4000).selectExpr("CASE WHEN id % 2 = 0 THEN 7 ELSE id END AS k", "id AS v")
+        right = spark.range(3500).selectExpr("id AS k", "id * 2 AS w").union(spark.createDataFrame([(7, 14)], "k long, w long"))
+        counts = left.groupBy("k").agg(F.count("*").alias("n")).filter("k <> 1")
+        for how in ("inner", "left"):
+            got = common.join_spread(left, right, "k", "v", counts, how, ("w",))
+            want = left.join(right.distinct(), "k", how)
+            assert got.columns == want.columns and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
 
     def test_awkward(self, table, awkward):
         got = sorted((tuple(r)[:2] for r in near_dedup.classify(table(awkward)).collect()), key=repr)

@@ -191,4 +191,5 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.size(named([k])).cast("long").alias(f"n_{k}") for k in BASE_KINDS],
         F.sha2(joined(named(BASE_KINDS)), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
+        F.concat_ws(",", F.transform("spans", lambda s: F.format_number(s["score"], 2))).alias("scores"),
     )
