@@ -110,7 +110,10 @@ _keys_of("rule_union_all", "SELECT c_custkey FROM customer WHERE c_acctbal < 0 U
 _keys_of("rule_rollup", "SELECT l_returnflag, l_linestatus, count(*) AS c FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)", "l_returnflag,l_linestatus,c", "'l_returnflag=' || coalesce(l_returnflag, 'NULL') || '|l_linestatus=' || coalesce(l_linestatus, 'NULL') || '|c=' || c")
 _keys_of("rule_cube", "SELECT o_orderstatus, o_orderpriority, count(*) AS c FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)", "o_orderstatus,o_orderpriority,c", "'o_orderstatus=' || coalesce(o_orderstatus, 'NULL') || '|o_orderpriority=' || coalesce(o_orderpriority, 'NULL') || '|c=' || c")
 _keys_of("rule_grouping_sets", "SELECT o_orderstatus, o_orderpriority, count(*) AS c FROM orders GROUP BY GROUPING SETS ((o_orderstatus), (o_orderpriority), ())", "o_orderstatus,o_orderpriority,c", "'o_orderstatus=' || coalesce(o_orderstatus, 'NULL') || '|o_orderpriority=' || coalesce(o_orderpriority, 'NULL') || '|c=' || c")
-_keys_of("rule_range_join", "SELECT p.p_partkey, s.s_suppkey FROM part p JOIN supplier s ON s.s_acctbal BETWEEN p.p_retailprice AND p.p_retailprice + 5", "p_partkey,s_suppkey", "'p_partkey=' || p_partkey || '|s_suppkey=' || s_suppkey")
+# Ranges of width 5 meet values by the two steps of 5 that they touch, an equality that hashes, instead of part x supplier comparisons.
+_RANGE = "SELECT p.p_partkey, s.s_suppkey FROM part p JOIN supplier s ON s.s_acctbal BETWEEN p.p_retailprice AND p.p_retailprice + 5"
+_STEPS = "SELECT p.p_partkey, s.s_suppkey FROM (SELECT *, explode(sequence(floor(p_retailprice / 5), floor((p_retailprice + 5) / 5))) AS step FROM part) p JOIN supplier s ON floor(s.s_acctbal / 5) = p.step AND s.s_acctbal BETWEEN p.p_retailprice AND p.p_retailprice + 5"
+_keys_of("rule_range_join", _STEPS, "p_partkey,s_suppkey", "'p_partkey=' || p_partkey || '|s_suppkey=' || s_suppkey", oracle=_RANGE)
 _keys_of("rule_asof", "SELECT event_id, prior FROM (SELECT event_id, event_type, last_value(CASE WHEN event_type = 'purchase' THEN event_id END, true) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM events) w WHERE event_type = 'error'", "event_id,prior", "'event_id=' || event_id || '|prior=' || coalesce(prior::VARCHAR, 'NULL')", oracle="SELECT event_id, prior FROM (SELECT event_id, event_type, last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM events) w WHERE event_type = 'error'")
 _keys_of("rule_string_pattern", "SELECT p_partkey FROM part WHERE p_name LIKE '%a%' AND upper(p_brand) LIKE 'BRAND#1%' AND p_type NOT LIKE '%STEEL'", "p_partkey", "'p_partkey=' || p_partkey")
 _keys_of("rule_case_in_between", "SELECT o_orderkey FROM orders WHERE CASE WHEN o_orderstatus IN ('F', 'O') THEN o_totalprice ELSE 0 END BETWEEN 1000 AND 5000", "o_orderkey", "'o_orderkey=' || o_orderkey")

@@ -13,6 +13,8 @@ from ..functions import keys, quota, templating
 from ..plans.scratch import scratch
 from . import ordering
 
+#: So many leaves at most are broadcast.
+BROADCAST_LEAVES = 100_000
 METHODS = ("RANKED", "RANDOM", "SYSTEMATIC")
 
 
@@ -124,8 +126,9 @@ def _leaf_rows(pool: DataFrame, cols: list[str], plan: list[quota.Leaf], method:
     on = F.lit(True)
     for k, c in enumerate(cols):
         on = on & (F.col(c) == F.col(f"_b{k}"))
-    # The leaves are as many as there are distinct buckets together, and were collected above.
-    held = pool.join(F.broadcast(leaves), on) if cols else pool.withColumns({"_leaf": F.lit(0), "_target": F.lit(plan[0].target).cast("long"), "_step": F.lit(rows[0][-2]).cast("long"), "_offset": F.lit(rows[0][-1]).cast("long")})
+    # The leaves are as many as there are distinct buckets together, and were collected above; strata by a key have many.
+    leaves = F.broadcast(leaves) if len(rows) <= BROADCAST_LEAVES else leaves
+    held = pool.join(leaves, on) if cols else pool.withColumns({"_leaf": F.lit(0), "_target": F.lit(plan[0].target).cast("long"), "_step": F.lit(rows[0][-2]).cast("long"), "_offset": F.lit(rows[0][-1]).cast("long")})
     pos = F.col("_pos")
     if method == "RANDOM" and random_mode == "seeded":
         places = spark.createDataFrame(drawn, "_leaf int, _pos long, _in_leaf long")
