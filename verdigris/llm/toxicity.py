@@ -195,10 +195,10 @@ def _windows(given: list[str], weights: np.ndarray | None, most: list[int], some
         b = Bags(part)
         low = " " + " ".join(t.lower() + " " for t in part)
         words, pairs = b.scored(weights) if weights is not None else (None, None)
-        bounds = np.searchsorted(b.pairs, b.first)
+        bounds, each, second = np.searchsorted(b.pairs, b.first), np.arange(len(b.starts)), b.pairs + 1
         for i in range(len(part)):
             mine = []
-            for score, a, z, first, last in ((words, b.first[i], b.first[i + 1], np.arange(len(b.starts)), np.arange(len(b.starts))), (pairs, bounds[i], bounds[i + 1], b.pairs, b.pairs + 1)):
+            for score, a, z, first, last in ((words, b.first[i], b.first[i + 1], each, each), (pairs, bounds[i], bounds[i + 1], b.pairs, second)):
                 if z <= a:
                     continue
                 picked = rng.integers(a, z, some[start + i])
