@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from verdigris.llm import exact_dedup, mixing, near_dedup, sentencepiece_codec, toxicity, url_filter
+from verdigris.llm.common import tables
 
 
 def words(t):
@@ -260,3 +261,27 @@ def test_pipeline_against_its_stages_by_hand(spark, tmp_path, table, prose):
     assert set(mixed) <= set(seen[2][1]) and max(mixed.count(i) for i in mixed) == 2
     assert seen[4][1] == mixed == ids(corpus_pipeline.run(spark, str(tmp_path)))
     assert {exact_dedup, near_dedup, mixing, sentencepiece_codec, toxicity}
+
+
+@needs_model
+def test_pipeline_of_awkward_rows(spark, tmp_path, table, awkward):
+    """Nulls, empty and very long texts, ties, repeated rows, a clashing column; no labels at all; then no rows at all."""
+    no_labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for name, rows in (("some", awkward), ("none", [])):
+        folder = f"{tmp_path}/{name}"
+        docs = table(rows, more="__score")
+        docs.write.parquet(f"{folder}/documents.parquet")
+        no_labels.write.parquet(f"{folder}/labels.parquet")
+        before = tables(spark)
+        got = [r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()]
+        assert set(got) == ({4, None, 7, 9, 10} if rows else set())
+        assert len(got) <= 2 * len(set(got))
+        left = [t for t in tables(spark) if t not in before]
+        assert len(left) == 1 and "/pipeline-" in left[0]
+    now = spark.read.parquet(f"{tmp_path}/some/documents.parquet")
+    kept = []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, f"{tmp_path}/some")
+        kept.append(sorted(str(r["doc_id"]) for r in now.collect()))
+        assert now.columns == docs.columns
+    assert kept[0] == sorted(str(i) for i, _ in awkward) and kept[1] == sorted(map(str, [1, 3, 4, 5, None, 7, 9, 10])) and kept[2] == sorted(map(str, [1, 3, 4, None, 7, 9, 10]))
