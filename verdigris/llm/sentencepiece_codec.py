@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from .common import blocks, table, text_batches, texts
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: Threads of the tokenizers library in a task's worker, unless RAYON_NUM_THREADS says otherwise: it takes all cores of a machine by itself, which its tasks share.
+THREADS = 2
 #: SentencePiece's marker for a space, and its piece types (fixed values of the format).
 SPACE_MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -84,10 +86,13 @@ class Codec:
     """The rebuilt tokenizer, and the library's own beside it for parity."""
 
     def __init__(self, model: bytes):
+        import os
+
         import numpy as np
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2 as pb
 
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         self.np, self.tok, self.plain = np, build(model), sentencepiece.SentencePieceProcessor(model_proto=model)
         proto = pb.ModelProto.FromString(model)
         self.strips = proto.normalizer_spec.add_dummy_prefix
