@@ -1,9 +1,17 @@
 import datetime as dt
+import os
+import subprocess
+import sys
 import zipfile
+from pathlib import Path
 from xml.sax.saxutils import escape
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pyspark
 import pytest
 
+from verdigris import catalogue
 from verdigris.functions.settings import Settings
 from verdigris.sources import files
 from verdigris.sources.resolver import CatalogSource, SourceResolver
@@ -139,3 +147,38 @@ def test_registry(spark):
     assert r.get("spark").identifier("db", "t") == "db.t"
     with pytest.raises(ValueError, match="prefix"):
         r.get("s3").load(None, "x.csv")
+
+
+CLUSTER = """
+import sys
+from pyspark.sql import SparkSession
+from verdigris import catalogue
+from verdigris.sources.resolver import SourceResolver
+
+spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.executor.memory", "512m").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", f"file://{sys.argv[1]}").getOrCreate()
+rows = [(1, "a", 1.5), (2, 'a "b",', None), (3, " two\\r\\nlines ", 1 / 3), (4, None, -1e300), (5, "", 0.1), (6, "\\t", 2.0), (7, "NULL", 3.0), (8, "\u732b \\\\", 4.0), (None, "x", 5.0)]
+given = spark.createDataFrame(rows, "k long, n string, v double").repartition(3)
+for df, n in ((given, 9), (given.limit(0), 0)):
+    env = {"DQ_POSTGRES_URL": catalogue._database(spark, "t", df), "DQ_POSTGRES_DRIVER": catalogue.DERBY, "DQ_POSTGRES_SPLIT_COLUMN": "K", "DQ_POSTGRES_SPLITS": "4"}
+    got = SourceResolver(spark, env=env).get("postgres").load(None, "t")
+    assert got.dtypes == df.dtypes and sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, df.collect()), key=str) and got.count() == n
+assert catalogue.queries()["source_jdbc_split"](spark, sys.argv[2]).count() == 150
+print("same")
+"""
+
+
+def test_executors_open_the_database(tmp_path):
+    """Executors are processes of their own: a database in the driver's memory is empty to them."""
+    sf = tmp_path / "sf"
+    sf.mkdir()
+    rows = pa.table({"c_custkey": range(150), "c_name": ["n"] * 150, "c_acctbal": [0.5] * 150})
+    for t in catalogue.TABLES:
+        pq.write_table(rows, sf / f"{t}.parquet")
+    (tmp_path / "home" / "work").mkdir(parents=True)
+    for p in Path(pyspark.__file__).parent.iterdir():  # executors write into work in Spark's home
+        if p.name != "work":
+            (tmp_path / "home" / p.name).symlink_to(p)
+    given = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_", "SPARK_", "_PYSPARK"))}
+    env = given | {"SPARK_SCALA_VERSION": "2.13", "SPARK_HOME": f"{tmp_path}/home", "PYSPARK_PYTHON": sys.executable}
+    run = subprocess.run([sys.executable, "-c", CLUSTER, str(tmp_path), str(sf)], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert run.stdout.strip().endswith("same"), run.stderr[:5000]

@@ -5,9 +5,13 @@ Queries that need a metadata store run the engine on one in the shared folder.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -612,12 +616,55 @@ def _file_rule(spark, _):
     return runner.store.current(ms.EXCEPTIONS).select("src_key_value")
 
 
+DERBY = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+
+
+def _database(spark: SparkSession, table: str, rows: DataFrame) -> str:
+    """The URL of a database with rows as its only table, which driver and executors can open at once.
+
+    The database that comes with Spark lets one process write to it, but any number read it from a jar.  So the
+    driver fills one of its own by the database's import of files, closes it, and puts it as a jar, not compressed
+    so that its pages are found without reading those before, into the shared folder, which must be a mounted one.
+    """
+    folder = f"{shared_folder(spark)}/database-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getScheme() != "file":
+        raise RuntimeError(f"a database cannot be opened within {folder}: spark.checkpoint.dir must be a mounted folder")
+    fs.deleteOnExit(place)
+    shared = place.toUri().getPath()
+    # Every value in quotes, which keep spaces at its ends; without them it is null.
+    quoted = [F.coalesce(F.concat(F.lit('"'), F.replace(F.col(f"`{c}`").cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit("")) for c in rows.columns]
+    rows.select(F.concat_ws(",", *quoted)).write.text(f"{folder}/rows")
+    with tempfile.TemporaryDirectory(prefix="verdigris-") as own:
+        own = Path(own).resolve()
+        url, driver, none = f"jdbc:derby:{own}/db", spark._jvm.org.apache.derby.iapi.jdbc.AutoloadedDriver(), spark._jvm.java.util.Properties()
+        # Without rows this only makes the table, and no executor connects.
+        spark.createDataFrame([], rows.schema).limit(0).write.jdbc(f"{url};create=true", table, properties={"driver": DERBY})
+        connection = driver.connect(url, none)
+        load = connection.prepareCall("CALL SYSCS_UTIL.SYSCS_IMPORT_TABLE(NULL, ?, ?, ',', '\"', 'UTF-8', 0)")
+        for part in sorted(Path(f"{shared}/rows").glob("part-*")):
+            load.setString(1, table.upper())
+            load.setString(2, str(part))
+            load.execute()
+        connection.close()
+        try:
+            driver.connect(f"{url};shutdown=true", none)
+        except Py4JJavaError as e:
+            if e.java_exception.getSQLState() != "08006":  # how it says that it has closed
+                raise
+        with zipfile.ZipFile(f"{shared}/db.jar", "w", zipfile.ZIP_STORED) as jar:
+            for f in sorted(own.rglob("*")):
+                jar.write(f, f.relative_to(own))
+    fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/rows"), True)
+    return f"jdbc:derby:jar:({shared}/db.jar)db"
+
+
 @query("source_jdbc_split", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def _jdbc(spark, _):
     """A database table, read in ranges of its key; the one that comes with Spark stands for others."""
-    url = f"jdbc:derby:memory:v{uuid.uuid4().hex};create=true"
-    spark.table("customer").select("c_custkey", "c_name", "c_acctbal").coalesce(1).write.jdbc(url, "customers", properties={"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
-    env = {"DQ_POSTGRES_URL": url, "DQ_POSTGRES_DRIVER": "org.apache.derby.iapi.jdbc.AutoloadedDriver", "DQ_POSTGRES_SPLIT_COLUMN": "C_CUSTKEY", "DQ_POSTGRES_SPLITS": "4"}
+    url = _database(spark, "customers", spark.table("customer").select("c_custkey", "c_name", "c_acctbal"))
+    env = {"DQ_POSTGRES_URL": url, "DQ_POSTGRES_DRIVER": DERBY, "DQ_POSTGRES_SPLIT_COLUMN": "C_CUSTKEY", "DQ_POSTGRES_SPLITS": "4"}
     return SourceResolver(spark, env=env).get("postgres").load(None, "customers").toDF("c_custkey", "c_name", "c_acctbal")
 
 
