@@ -217,6 +217,19 @@ def test_tieback_sql_by_dialect():
     assert tieback_sql(rule(sql_dialect="file"), "K", "e") is None and tieback_sql(rule(src_key_cols=""), "K", "e") is None
 
 
+def test_tieback_sql_joins_by_equality(spark):
+    source = [(1, "x"), (2, "a=b|c"), (3, None), (4, "NULL"), (None, "x"), (5, "a"), (7, ""), (6, "x")]
+    spark.createDataFrame(source, "Id int, note string").createOrReplaceTempView("noted")
+    wanted = ["Id=1|note=x", "Id=2|note=a=b|c", "Id=3|note=NULL", "Id=4|note=NULL", "Id=NULL|note=x", "Id=5|note=b", "Id=7|note="]
+    rows = [(i, 1, "r", "p", "q", k, "Y", run, now) for i, k in enumerate([*wanted, "Id=6|note=x"]) for run, now in (("K", "Y" if k in wanted else "N"), ("other", "Y"))]
+    spark.createDataFrame(rows, "record_id long, rule_id int, rule_nm string, process_name string, project_name string, src_key_value string, exception_flag string, run_key string, etl_is_curr_ind string").createOrReplaceTempView("kept")
+    got = spark.sql(tieback_sql(rule(1, src_tbl_nm="noted", src_key_cols="Id, note", sql_dialect="spark"), "K", "kept"))
+    assert sorted((r["_src_key_value"], r["Id"], r["note"]) for r in got.collect()) == sorted((wanted[i], *source[i]) for i in (0, 1, 2, 4, 6))
+    for columns in ("note", "Id, note"):
+        plan = spark.sql(tieback_sql(rule(1, src_tbl_nm="noted", src_key_cols=columns, sql_dialect="spark"), "K", "kept"))._jdf.queryExecution().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_reports(make, spark):
     runner = make(rule(1, severity="WARN"), rule(2, src_key_cols="claim_id, denial_reason"), rule(3, rule_syntax="SELECT claim_id FROM claims WHERE 1 = 0"))
     out = run(runner)

@@ -27,7 +27,6 @@ log = logging.getLogger(__name__)
 TIEBACK = {
     "teradata": ("STRTOK({0}, '|', {1})", "STRTOK({0}, '=', 2)"),
     "postgres": ("split_part({0}, '|', {1})", "split_part({0}, '=', 2)"),
-    "spark": ("split_part({0}, '|', {1})", "split_part({0}, '=', 2)"),
 }
 
 
@@ -77,14 +76,18 @@ def tieback_sql(rule: Mapping, run_key: str, exceptions: str, scope: Mapping[str
     """
     dialect = (rule.get("sql_dialect") or "").lower()
     columns = keys.split_columns(rule.get("src_key_cols"))
-    if dialect not in TIEBACK or not columns:
+    if dialect not in (*TIEBACK, "spark") or not columns:
         return None
-    part, value = TIEBACK[dialect]
-    on = []
-    for i, c in enumerate(columns, 1):
-        v = value.format(part.format("e.src_key_value", i) if len(columns) > 1 else "e.src_key_value")
-        mine = f"CAST(s.{c} AS STRING)" if dialect == "spark" else f"s.{c}"
-        on.append(f"(({v} = '{keys.NULL_KEY}' AND s.{c} IS NULL) OR ({v} <> '{keys.NULL_KEY}' AND {mine} = {v}))")
+    if dialect == "spark":
+        # One equality: with a choice of two in the join, Spark compares every row with every exception.
+        parts = [f"'{'|' * (i > 0)}{templating.escape(c)}=', COALESCE(CAST(s.{c} AS STRING), '{keys.NULL_KEY}')" for i, c in enumerate(columns)]
+        on = [f"e.src_key_value = CONCAT({', '.join(parts)})", *(f"(s.{c} IS NULL OR CAST(s.{c} AS STRING) <> '{keys.NULL_KEY}')" for c in columns)]
+    else:
+        part, value = TIEBACK[dialect]
+        on = []
+        for i, c in enumerate(columns, 1):
+            v = value.format(part.format("e.src_key_value", i) if len(columns) > 1 else "e.src_key_value")
+            on.append(f"(({v} = '{keys.NULL_KEY}' AND s.{c} IS NULL) OR ({v} <> '{keys.NULL_KEY}' AND s.{c} = {v}))")
     source = ".".join(x for x in (rule.get("database_name"), rule.get("src_tbl_nm")) if x)
     where = [f"e.rule_id = {rule['rule_id']}", f"e.run_key = '{templating.escape(run_key)}'", "e.etl_is_curr_ind = 'Y'", *templating.equalities(scope or {}, "s.")]
     about = ("record_id", "rule_id", "rule_nm", "process_name", "project_name", "src_key_value", "exception_flag")
